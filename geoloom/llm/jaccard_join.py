@@ -11,7 +11,7 @@ A document is the set of its distinct word shingles, as 64-bit hashes. The join
 3. What survives is verified with the sets. Links already implied by others are not looked for: a block yields
    for each of its components the pairs with its least document. Connected components then join the blocks.
 
-A block larger than BLOCK_ROWS is split, each part with the block's first document. Documents that are then not
+A block larger than BLOCK_ROWS or BLOCK_SHINGLES is split, each part with the block's first document. Documents that are then not
 connected with that document are compared with all parts in a second pass, in blocks again, so no link is lost. Copies
 in one task are one document for all this. Sets are compared by the first 40 bits of their hashes.
 
@@ -34,7 +34,8 @@ from geoloom.llm.common import checkpoint, mix64, pieces, sieve, sieve_place, sm
 from geoloom.llm.components import components
 
 WORDS, PERCENT = 5, 80
-BLOCK_ROWS = 1000
+#: Documents of a block, and shingles of them all together.
+BLOCK_ROWS, BLOCK_SHINGLES = 1000, 1_000_000
 #: Documents of the sample behind the order, and in how many of them a shingle is frequent: at most
 #: SAMPLE_ROWS * shingles / FREQUENT hashes are broadcast.
 SAMPLE_ROWS, FREQUENT = 8000, 4
@@ -378,7 +379,8 @@ def jaccard_join(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     pivots = hot.groupBy("s").agg(F.min("row").alias("p"), F.count("*").alias("f")).where("f > 1").select("s", "p")
     stars = stars.union(hot.join(pivots, "s").where("row <> p").select("p", F.col("row").alias("x")))
     pairs = checkpoint(stars.distinct())
-    sizes = pairs.groupBy("p").agg(F.ceil((F.count("*") + 1) / F.lit(block_rows)).cast("long").alias("parts"))
+    lengths = known.where("vector is not null").select(F.col("row").alias("x"), F.col("n").cast("long").alias("n"))
+    sizes = pairs.join(lengths, "x").groupBy("p").agg(F.ceil(F.greatest((F.count("*") + 1) / F.lit(block_rows), F.sum("n") / F.lit(BLOCK_SHINGLES))).cast("long").alias("parts"))
     members = pairs.join(sizes, "p").select("p", F.pmod(F.xxhash64("x"), F.col("parts")).alias("part"), "x", "parts")
     members = members.union(sizes.select("p", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("p").alias("x"), "parts"))
 
@@ -404,7 +406,7 @@ def jaccard_join(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         first = named.where("x = p").select("p", F.col("label").alias("of_p")).distinct()
         named = checkpoint(named.join(first, "p"))
         apart = named.where("label <> of_p")
-        lots = apart.groupBy("p").agg(F.ceil(F.countDistinct("x") / F.lit(block_rows)).cast("long").alias("lots"))
+        lots = apart.select("p", "x").distinct().join(lengths, "x").groupBy("p").agg(F.ceil(F.greatest(F.count("*") / F.lit(block_rows), F.sum("n") / F.lit(BLOCK_SHINGLES))).cast("long").alias("lots"))
         if lots.limit(1).count():
             every = lambda n, to: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)).alias(to)
             answer = named.join(lots, "p").select("p", "part", every("lots", "lot"), "x", "label", F.lit(False).alias("asks"))
