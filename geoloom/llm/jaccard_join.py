@@ -11,8 +11,9 @@ A document is the set of its distinct word shingles, as 64-bit hashes. The join
 3. What survives is verified with the sets. Links already implied by others are not looked for: a block yields
    for each of its components the pairs with its least document. Connected components then join the blocks.
 
-A block larger than BLOCK_ROWS or BLOCK_SHINGLES is split, each part with the block's first document. Documents that are then not
-connected with that document are compared with all parts in a second pass, in blocks again, so no link is lost. Copies
+A block larger than BLOCK_ROWS or BLOCK_SHINGLES is split, each part with the block's first document. A document without
+a possible partner in its part asks the other parts before it leaves, and documents that are verified but not
+connected with the first are compared with all parts in a second pass, in blocks again, so no link is lost. Copies
 in one task are one document for all this. Sets are compared by the first 40 bits of their hashes.
 
 Defined cases: null, empty and blank texts have no shingle and link with nothing; with fewer words than a
@@ -35,7 +36,7 @@ from geoloom.llm.components import components
 
 WORDS, PERCENT = 5, 80
 #: Documents of a block, and shingles of them all together.
-BLOCK_ROWS, BLOCK_SHINGLES = 1000, 1_000_000
+BLOCK_ROWS, BLOCK_SHINGLES = 1000, 2_000_000
 #: Documents of the sample behind the order, and in how many of them a shingle is frequent: at most
 #: SAMPLE_ROWS * shingles / FREQUENT hashes are broadcast.
 SAMPLE_ROWS, FREQUENT = 8000, 4
@@ -238,24 +239,41 @@ def _groups(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[list[tuple]
         yield held
 
 
+def _tree(rows: list[tuple], percent: int) -> RTree:
+    return RTree([np.frombuffer(r[-1], np.uint8) for r in rows], np.array([r[-2] for r in rows], np.int64), percent)
+
+
 def _prune(percent: int) -> Callable:
+    """From (p, part, x, parts, n, vector): who has a possible partner in its part, and who of a split block has none there."""
+    names = ("p", "part", "x", "parts", "paired")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         for rows in _groups(batches, 2):
-            rows = list({r[2]: r for r in rows}.values())
-            if rows[0][3] > 1:  # a part of a split block: partners may be in others
-                out += [r[:4] for r in rows]
-            elif len(rows) > 1:
-                tree = RTree([np.frombuffer(r[5], np.uint8) for r in rows], np.array([r[4] for r in rows], np.int64), percent)
-                fits = np.zeros(len(rows), bool)
+            fits = np.zeros(len(rows), bool)
+            if len(rows) > 1:
+                tree = _tree(rows, percent)
                 for i in range(len(rows)):
                     if not fits[i] and (other := tree.has_partner(i)) >= 0:
                         fits[[i, other]] = True
-                out += [r[:4] for r, ok in zip(rows, fits.tolist(), strict=True) if ok]
+            out += [(*r[:4], int(ok)) for r, ok in zip(rows, fits.tolist(), strict=True) if ok or r[3] > 1]
             if len(out) > 10_000:
-                yield _table(out, ("p", "part", "x", "parts"))
+                yield _table(out, names)
                 out = []
-        yield _table(out, ("p", "part", "x", "parts"))
+        yield _table(out, names)
+
+    return run
+
+
+def _ask_others(percent: int) -> Callable:
+    """From (p, part, lot, x, asks, n, vector): those that ask and have a possible partner in another part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches, 3):
+            asking = [i for i, r in enumerate(rows) if r[4]]
+            if asking and len(rows) > 1:
+                tree = _tree(rows, percent)
+                yield _table([(rows[i][0], rows[i][3]) for i in asking if tree.has_partner(i) >= 0], ("p", "x"))
 
     return run
 
@@ -322,8 +340,7 @@ def _verify(percent: int, second: bool) -> Callable:
                 nodes, before = [r[3] for r in rows], [r[4] for r in rows]
                 queries = [k for k, x in enumerate(nodes) if x in asking]
             else:
-                rows = list({r[2]: r for r in rows}.values())
-                rows.sort(key=lambda r: (r[2] != r[0], r[2]))
+                rows = sorted({r[2]: r for r in rows}.values(), key=lambda r: r[2])
                 nodes = before = [r[2] for r in rows]
                 queries = None
             if len(rows) < 2 or second and not queries:
@@ -361,6 +378,14 @@ def frequent_shingles(docs: DataFrame, words: int = WORDS, sample_rows: int = SA
     return np.sort(np.array([r[0] for r in often.collect()], np.int64).view(np.uint64))
 
 
+def _split(blocks: DataFrame, lengths: DataFrame, block_rows: int) -> DataFrame:
+    """(p, part, x, parts, first) of blocks (p, x): large blocks in parts by a hash of x, the block's first x in each."""
+    sizes = blocks.join(lengths, "x").groupBy("p").agg(F.ceil(F.greatest(F.count("*") / F.lit(block_rows), F.sum("n") / F.lit(BLOCK_SHINGLES))).cast("long").alias("parts"), F.min("x").alias("first"))
+    members = blocks.join(sizes, "p").select("p", F.pmod(F.xxhash64("x"), F.col("parts")).alias("part"), "x", "parts", "first")
+    firsts = sizes.where("parts > 1").select("p", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("first").alias("x"), "parts", "first")
+    return members.where("parts = 1 or x <> first").union(firsts)
+
+
 def jaccard_join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = WORDS, percent: int = PERCENT, block_rows: int = BLOCK_ROWS, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id, n_shingles and component_id, the least id reachable by links; one row per document."""
     spark = docs.sparkSession
@@ -380,13 +405,20 @@ def jaccard_join(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     stars = stars.union(hot.join(pivots, "s").where("row <> p").select("p", F.col("row").alias("x")))
     pairs = checkpoint(stars.distinct())
     lengths = known.where("vector is not null").select(F.col("row").alias("x"), F.col("n").cast("long").alias("n"))
-    sizes = pairs.join(lengths, "x").groupBy("p").agg(F.ceil(F.greatest((F.count("*") + 1) / F.lit(block_rows), F.sum("n") / F.lit(BLOCK_SHINGLES))).cast("long").alias("parts"))
-    members = pairs.join(sizes, "p").select("p", F.pmod(F.xxhash64("x"), F.col("parts")).alias("part"), "x", "parts")
-    members = members.union(sizes.select("p", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("p").alias("x"), "parts"))
-
+    members = _split(pairs.union(pairs.select("p", F.col("p").alias("x")).distinct()), lengths, block_rows)
     points = known.where("vector is not null").select(F.col("row").alias("x"), F.col("n").cast("long").alias("n"), "vector")
-    blocks = members.join(points, "x").select("p", "part", "x", "parts", "n", "vector").repartition(parts, "p", "part").sortWithinPartitions("p", "part", "x")
-    left = checkpoint(blocks.mapInArrow(_prune(percent), "p long, part long, x long, parts long"))
+    blocks = members.select("p", "part", "x", "parts").join(points, "x").select("p", "part", "x", "parts", "n", "vector").repartition(parts, "p", "part").sortWithinPartitions("p", "part", "x")
+    pruned = checkpoint(blocks.mapInArrow(_prune(percent), "p long, part long, x long, parts long, paired long"))
+    kept = pruned.where("paired = 1").select("p", "x")
+    alone = pruned.where("paired = 0")
+    if not alone.isEmpty():
+        lots = alone.select("p", F.col("part").alias("lot")).distinct()
+        there = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("to")
+        asking = alone.select("p", F.col("part").alias("lot"), "x", there).where("to <> lot").select("p", F.col("to").alias("part"), "lot", "x", F.lit(True).alias("asks"))
+        asked = pruned.join(lots, "p").where("part <> lot").select("p", "part", "lot", "x", F.lit(False).alias("asks"))
+        across = asking.union(asked).join(points, "x").select("p", "part", "lot", "x", "asks", "n", "vector").repartition(parts, "p", "part", "lot").sortWithinPartitions("p", "part", "lot", "x")
+        kept = kept.union(across.mapInArrow(_ask_others(percent), "p long, x long")).distinct()
+    left = checkpoint(_split(checkpoint(kept), lengths, block_rows))
 
     # Sets of what survives. The sieve only spares work: two documents in one place of it are told apart by the join.
     survivors = left.select("x").distinct().join(known.select(F.col("row").alias("x"), "doc_id", "sign"), "x")
@@ -400,14 +432,14 @@ def jaccard_join(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
     # Split blocks: what is not connected with the block's first document asks all parts.
     split = left.where("parts > 1")
-    if split.limit(1).count():
+    if not split.isEmpty():
         mark = labels.select(F.col("node").alias("x"), "label")
         named = split.join(mark, "x", "left").withColumn("label", F.coalesce("label", "x"))
-        first = named.where("x = p").select("p", F.col("label").alias("of_p")).distinct()
+        first = named.where("x = first").select("p", F.col("label").alias("of_p")).distinct()
         named = checkpoint(named.join(first, "p"))
         apart = named.where("label <> of_p")
         lots = apart.select("p", "x").distinct().join(lengths, "x").groupBy("p").agg(F.ceil(F.greatest(F.count("*") / F.lit(block_rows), F.sum("n") / F.lit(BLOCK_SHINGLES))).cast("long").alias("lots"))
-        if lots.limit(1).count():
+        if not lots.isEmpty():
             every = lambda n, to: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)).alias(to)
             answer = named.join(lots, "p").select("p", "part", every("lots", "lot"), "x", "label", F.lit(False).alias("asks"))
             ask = apart.join(lots, "p").select("p", every("parts", "part"), F.pmod(F.xxhash64("x"), F.col("lots")).alias("lot"), "x", "label", F.lit(True).alias("asks"))
