@@ -34,13 +34,15 @@ class RunLengthIndex:
     def _sort(self, longest: int) -> np.ndarray:
         n, depth, key = self.size, PACKED, self.code[: self.size]
         while True:
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)
             ranked = key[order]
             new = np.concatenate([[True], ranked[1:] != ranked[:-1]]) if n else np.zeros(0, bool)
-            if depth >= longest or new.all():
+            if new.all():
                 return order
             rank = np.empty(n, np.int64)
             rank[order] = np.cumsum(new)
+            if depth >= longest:  # what is equal now stands in order of place
+                return np.argsort(rank * (n + 1) + np.arange(n))
             after = np.zeros(n, np.int64)
             inside = np.flatnonzero(self.left > depth)
             after[inside] = rank[inside + depth]
