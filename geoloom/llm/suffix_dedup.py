@@ -8,8 +8,8 @@ anchors at equal offsets. Consecutive windows of one anchor form a piece, so pie
 3. Different pieces of one anchor meet in a task, which builds a run-length index over them (see run_length_index),
    streams matching statistics and marks matches of MATCH bytes or more.
 4. An anchor with more than HOT_PIECES different pieces is not gathered. Its windows are taken in lots of LOT by their
-   offset from the anchor; lots whose common bytes are unique go, and the windows of the others are counted by
-   their hash. This is exact as well, and no task holds more than a share of such a group.
+   offset from the anchor; lots whose common bytes are unique go, lots that are equal as a whole are repeated, and the
+   windows of the others are counted by their hash. This is exact as well, and no task holds such a group.
 
 Marks join the texts by row; the texts are shuffled once for both uses.
 
@@ -271,14 +271,18 @@ def suffix_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     bodies = sliced.where("body is not null").select("h", "row", "at", "single", "body").repartition(parts, "h").sortWithinPartitions("h", "row", "at")
     matched = bodies.mapInArrow(_index(match), "row long, begin int, end int")
 
-    lots = sliced.where("body is null")
-    shared = lots.groupBy("h", "lot").agg(F.count("*").alias("n")).where("n > 1").select("h", "lot")
-    lots = lots.join(shared, ["h", "lot"]).select("row", "at", "single", "hashes")
-    windows = lots.select("row", "at", "single", F.posexplode("hashes").alias("k", "window"))
+    # Lots that are equal as a whole are repeated throughout, as pieces are; windows are made of the others and of one of each kind.
+    lots = sliced.where("body is null").select("h", "lot", "row", "at", "single", "hashes", F.xxhash64("hashes").alias("whole"))
+    same_lots = lots.groupBy("h", "lot", "whole").agg(F.count("*").alias("copies"), F.min(F.struct("row", "at")).alias("one"))
+    kinds = same_lots.groupBy("h", "lot").agg(F.count("*").alias("different"))
+    told_lots = lots.join(same_lots.join(kinds, ["h", "lot"]), ["h", "lot", "whole"])
+    equal = told_lots.where("copies > 1 and single").select("row", F.col("at").alias("begin"), (F.col("at") + F.size("hashes") + (match - 1)).alias("end"))
+    apart = told_lots.where("different > 1 and (copies = 1 or (one.row = row and one.at = at))")
+    windows = apart.select("row", "at", (F.col("single") & (F.col("copies") == 1)).alias("single"), F.posexplode("hashes").alias("k", "window"))
     twice = windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
     counted = windows.where("single").join(twice, "window").select("row", (F.col("at") + F.col("k")).alias("begin"), (F.col("at") + F.col("k") + match).cast("int").alias("end"))
 
-    marks = direct.union(matched).union(counted).groupBy("row").agg(F.collect_list(F.struct("begin", "end")).alias("marks"))
+    marks = direct.union(matched).union(equal).union(counted).groupBy("row").agg(F.collect_list(F.struct("begin", "end")).alias("marks"))
     joined = rows.join(marks, "row", "left").select("row", "doc_id", "text", "marks")
     kind = rows.schema["doc_id"].dataType.simpleString()
     return joined.mapInArrow(_remove, f"doc_id {kind}, n_bytes long, n_removed long, spans array<struct<begin:long,end:long>>, kept binary")
