@@ -11,7 +11,7 @@ anchors at equal offsets. Consecutive windows of one anchor form a piece, so pie
    offset from the anchor; lots whose common bytes are unique go, lots that are equal as a whole are repeated, and the
    windows of the others are counted by their hash. This is exact as well, and no task holds such a group.
 
-Marks join the texts by row; the texts are shuffled once for both uses.
+Texts that a sieve of fixed size shows to have no piece in question, or no mark, are not shuffled.
 
 Defined cases: null and empty texts, and texts shorter than MATCH, lose nothing. Matches do not cross documents.
 Repeated rows are copies and lose all from MATCH bytes on. Very long texts are worked through in overlapping
@@ -240,6 +240,17 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
 
 
+def _sift(fine, wanted: bool) -> Callable:
+    """Rows on or off the places of a sieve, without the place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            on = fine.value[batch.column(3).to_numpy()]
+            yield batch.filter(pa.array(on if wanted else ~on)).select(["row", "doc_id", "text"])
+
+    return run
+
+
 def suffix_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", match: int = MATCH, gram: int = GRAM, hot_pieces: int = HOT_PIECES) -> DataFrame:
     """doc_id, n_bytes, n_removed, spans (removed runs of bytes) and kept (the bytes that stay); one row per document."""
     spark = docs.sparkSession
@@ -258,14 +269,10 @@ def suffix_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     wanted = told.where("different > 1 and (copies = 1 or (one.row = row and one.at = at))")
     wanted = wanted.select("row", F.struct("at", "windows", "h", (F.col("copies") == 1).alias("single"), (F.col("different") > hot_pieces).alias("hot")).alias("w"))
     by_row = checkpoint(wanted.groupBy("row").agg(F.collect_list("w").alias("wanted")))
-    fine = spark.sparkContext.broadcast(sieve(by_row, "row"))
-
-    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(fine.value[batch.column(2).to_numpy()])).select(["row", "text"])
-
-    sifted = narrow.select("row", "text", sieve_place(F.col("row")).alias("place")).mapInArrow(sift, "row long, text string")
-    sliced = sifted.join(by_row, "row").select("row", "text", "wanted").mapInArrow(_slices(match, gram), "h long, row long, at int, single boolean, body binary, lot int, hashes array<long>")
+    placed = rows.select("row", "doc_id", "text", sieve_place(F.col("row")).alias("place"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    sift = lambda fine: placed.mapInArrow(_sift(fine, True), f"row long, doc_id {kind}, text string")
+    sliced = sift(spark.sparkContext.broadcast(sieve(by_row, "row"))).join(by_row, "row").select("row", "text", "wanted").mapInArrow(_slices(match, gram), "h long, row long, at int, single boolean, body binary, lot int, hashes array<long>")
     sliced = checkpoint(sliced)
 
     bodies = sliced.where("body is not null").select("h", "row", "at", "single", "body").repartition(parts, "h").sortWithinPartitions("h", "row", "at")
@@ -282,7 +289,9 @@ def suffix_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     twice = windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
     counted = windows.where("single").join(twice, "window").select("row", (F.col("at") + F.col("k")).alias("begin"), (F.col("at") + F.col("k") + match).cast("int").alias("end"))
 
-    marks = direct.union(matched).union(equal).union(counted).groupBy("row").agg(F.collect_list(F.struct("begin", "end")).alias("marks"))
-    joined = rows.join(marks, "row", "left").select("row", "doc_id", "text", "marks")
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return joined.mapInArrow(_remove, f"doc_id {kind}, n_bytes long, n_removed long, spans array<struct<begin:long,end:long>>, kept binary")
+    marks = checkpoint(direct.union(matched).union(equal).union(counted).groupBy("row").agg(F.collect_list(F.struct("begin", "end")).alias("marks")))
+    fine = spark.sparkContext.broadcast(sieve(marks, "row"))
+    out = f"doc_id {kind}, n_bytes long, n_removed long, spans array<struct<begin:long,end:long>>, kept binary"
+    touched = sift(fine).join(marks, "row", "left").select("row", "doc_id", "text", "marks").mapInArrow(_remove, out)
+    whole = placed.mapInArrow(_sift(fine, False), f"row long, doc_id {kind}, text string").select("row", "doc_id", "text", F.lit(None).cast("array<struct<begin:int,end:int>>").alias("marks")).mapInArrow(_remove, out)
+    return touched.union(whole)
