@@ -18,8 +18,8 @@ from __future__ import annotations
 import json
 import math
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from geoloom.llm.common import fresh_dir
 
 TARGET_BYTES, LEAST_BYTES, FAN_IN = 128 << 20, 1 << 20, 4
-#: Runs that are merged by one job.
-RUNS_A_JOB = 64
+#: Runs that are merged for one version of the manifest, and jobs at a time.
+RUNS_A_VERSION, JOBS = 64, 16
 
 
 @dataclass
@@ -87,7 +87,7 @@ class Store:
     # data
 
     def _write(self, frame: DataFrame) -> list[tuple[str, int, int]]:
-        """(file, bytes, rows) of each new file with rows, in the order of tasks."""
+        """(file, bytes, rows) of each new file with rows, in the order of tasks. Each write has its own folder."""
         folder = f"{self.folder}/data/{uuid.uuid4().hex}"
         frame.write.parquet(folder)
         sizes = {s.getPath().getName(): s.getLen() for s in self.fs.listStatus(self._path(folder)) if s.getPath().getName().startswith("part-")}
@@ -124,12 +124,13 @@ class Store:
 
     def compact(self) -> int:
         """Merges until no tier is full; returns the last version."""
-        while runs := self.runs(self.shards())[:RUNS_A_JOB]:
+        while runs := self.runs(self.shards())[:RUNS_A_VERSION]:
             version, shards = self.version(), self.shards()
             schema = self.spark.read.parquet(runs[0][0].file).schema
-            frames = [self.spark.read.schema(schema).parquet(*(s.file for s in run)).coalesce(1) for run in runs]
-            new = self._write(reduce(DataFrame.union, frames))
-            if len(new) != len(runs) or any(n[2] != sum(s.rows for s in run) for n, run in zip(new, runs, strict=True)):
+            merge = lambda run: self._write(self.spark.read.schema(schema).parquet(*(s.file for s in run)).coalesce(1))  # noqa: E731, B023
+            with ThreadPoolExecutor(JOBS) as jobs:  # a job a run, some at a time; a run that fails is tried again alone
+                new = [files[0] if len(files) == 1 else ("", 0, -1) for files in jobs.map(merge, runs)]
+            if any(n[2] != sum(s.rows for s in run) for n, run in zip(new, runs, strict=True)):
                 raise RuntimeError("a merged file does not hold the rows of its run")
             gone = {s.shard_id for run in runs for s in run}
             top = max(s.shard_id for s in shards) + 1
