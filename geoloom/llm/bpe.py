@@ -25,7 +25,7 @@ import unicodedata
 import uuid
 from array import array
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -35,12 +35,16 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm.common import pieces, small_batches, texts
+from geoloom.llm.common import checkpoint, pieces, small_batches, texts
 
 #: Words that the lexicon holds, and the bytes of the longest.
-LEXICON_WORDS, WORD_BYTES = 32_768, 48
+LEXICON_WORDS, WORD_BYTES = 65_536, 48
 #: Distinct words that a task counts before it hands them on, and chunks whose ids a worker remembers.
 COUNTED, REMEMBERED, REMEMBERED_LENGTH = 100_000, 200_000, 64
+#: Symbols up to which a word is merged by search of the least rank.
+SHORT = 40
+BITS = 20
+MASK, NEVER = (1 << BITS) - 1, 1 << 62
 
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\t-\r \x85\xa0  -     　\p{L}\p{N}]+")
 #: Blank for str.split, but not for the tokenizer.
@@ -64,13 +68,15 @@ class Tokenizer:
         self.vocabulary: dict[str, int] = model["vocab"]
         self.end = model["end_of_word_suffix"]
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        self.merges = {(self.vocabulary[a], self.vocabulary[b]): (rank, self.vocabulary[a + b]) for rank, (a, b) in enumerate(pairs)}
+        # a pair's ids in one number, to its rank and the id it becomes in one number
+        self.merges = {self.vocabulary[a] << BITS | self.vocabulary[b]: rank << BITS | self.vocabulary[a + b] for rank, (a, b) in enumerate(pairs)}
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
         self.strings = [""] * (max([*self.vocabulary.values(), *self.special.values()]) + 1)
         for s, i in chain(self.vocabulary.items(), self.special.items()):
             self.strings[i] = s
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.bytes = printable_bytes()
+        self.byte_ids = [self.vocabulary[c] for c in printable_bytes()]
+        self.end_ids = [self.vocabulary[c + self.end] for c in printable_bytes()]
 
     def words(self, text: str) -> list[str]:
         if not text.isascii():
@@ -79,33 +85,43 @@ class Tokenizer:
 
     def merge(self, word: str) -> tuple[int, ...]:
         """The pair of lowest rank is merged first, of equal pairs the leftmost."""
-        symbols = [self.bytes[b] for b in word.encode()]
-        symbols[-1] += self.end
-        ids = [self.vocabulary[s] for s in symbols]
-        n = len(ids)
-        if n == 1:
-            return (ids[0],)
-        merges = self.merges
+        raw = word.encode()
+        ids = [*map(self.byte_ids.__getitem__, raw[:-1]), self.end_ids[raw[-1]]]
+        return self._merge_long(ids) if len(ids) > SHORT else self._merge_short(ids)
+
+    def _merge_short(self, ids: list[int]) -> tuple[int, ...]:
+        get = self.merges.get
+        ranks = [get(a << BITS | b, NEVER) for a, b in zip(ids, ids[1:])]
+        while ranks and (best := min(ranks)) != NEVER:
+            i = ranks.index(best)
+            ids[i] = merged = best & MASK
+            del ids[i + 1], ranks[i]
+            if i < len(ranks):
+                ranks[i] = get(merged << BITS | ids[i + 1], NEVER)
+            if i:
+                ranks[i - 1] = get(ids[i - 1] << BITS | merged, NEVER)
+        return tuple(ids)
+
+    def _merge_long(self, ids: list[int]) -> tuple[int, ...]:
+        get, n = self.merges.get, len(ids)
         after = [*range(1, n), -1]
         before = [*range(-1, n - 1)]
-        heap = [(m[0], i, m[1]) for i in range(n - 1) if (m := merges.get((ids[i], ids[i + 1])))]
+        heap = [(m, i) for i in range(n - 1) if (m := get(ids[i] << BITS | ids[i + 1], NEVER)) != NEVER]
         heapq.heapify(heap)
         while heap:
-            _, i, merged = heapq.heappop(heap)
+            m, i = heapq.heappop(heap)
             j = after[i]
-            if ids[i] < 0 or j < 0:
-                continue
-            m = merges.get((ids[i], ids[j]))
-            if m is None or m[1] != merged:
+            if ids[i] < 0 or j < 0 or get(ids[i] << BITS | ids[j], NEVER) != m:
                 continue
+            merged = m & MASK
             ids[i], ids[j] = merged, -1
             after[i] = after[j]
-            if after[j] >= 0:
-                before[after[j]] = i
-                if m := merges.get((merged, ids[after[i]])):
-                    heapq.heappush(heap, (m[0], i, m[1]))
-            if (k := before[i]) >= 0 and (m := merges.get((ids[k], merged))):
-                heapq.heappush(heap, (m[0], k, m[1]))
+            if (k := after[i]) >= 0:
+                before[k] = i
+                if (m := get(merged << BITS | ids[k], NEVER)) != NEVER:
+                    heapq.heappush(heap, (m, i))
+            if (k := before[i]) >= 0 and (m := get(ids[k] << BITS | merged, NEVER)) != NEVER:
+                heapq.heappush(heap, (m, k))
         return tuple(i for i in ids if i >= 0)
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -184,42 +200,55 @@ class Lexicon:
         return tuple(self.ids[self.at[rank] : self.at[rank + 1]])
 
 
+class _Bounded(dict):
+    """What a function gave, remembered for keys of bounded length: the last REMEMBERED new ones and as many before them."""
+
+    def __init__(self, function: Callable[[str], tuple[int, ...]]):
+        super().__init__()
+        self.function, self.before = function, {}
+
+    def __missing__(self, key: str) -> tuple[int, ...]:
+        found = self.before.get(key)
+        if found is None:
+            found = self.function(key)
+            if len(key) > REMEMBERED_LENGTH:
+                return found
+        if len(self) >= REMEMBERED:
+            self.before = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
 class Encoder:
-    """Ids of texts: chunks remembered, then words from the lexicon, then exact merges."""
+    """Ids of texts: chunks and words remembered, then words from the lexicon, then exact merges."""
 
     def __init__(self, tokenizer: Tokenizer, lexicon: Lexicon | None):
         self.tokenizer, self.lexicon = tokenizer, lexicon
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.words = _Bounded(self._word)
+        self.chunks = _Bounded(self._chunk)  # a chunk is text without a blank; no word crosses a blank
 
-    def word(self, word: str) -> tuple[int, ...]:
+    def _word(self, word: str) -> tuple[int, ...]:
         raw = word.encode()
         found = self.lexicon.lookup(raw) if self.lexicon and len(raw) <= WORD_BYTES else None
         return found if found is not None else self.tokenizer.merge(word)
 
-    def chunk(self, chunk: str) -> tuple[int, ...]:
-        """A chunk is text without a blank; no word crosses a blank."""
-        ids = self.known.get(chunk)
-        if ids is None:
-            ids = tuple(chain.from_iterable(map(self.word, self.tokenizer.words(chunk))))
-            if len(chunk) <= REMEMBERED_LENGTH:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[chunk] = ids
-        return ids
-
-    def encode(self, text: str) -> Iterator[int]:
-        if "<" in text and self.tokenizer.split_special.search(text):
-            parts = self.tokenizer.split_special.split(text)
-        else:
-            parts = [text]
-        for k, part in enumerate(parts):
+    def _chunk(self, chunk: str) -> tuple[int, ...]:
+        words = self.tokenizer.words(chunk)
+        return self.words[words[0]] if len(words) == 1 else tuple(chain.from_iterable(map(self.words.__getitem__, words)))
+
+    def encode(self, text: str, out: array | None = None) -> array:
+        """The ids, appended to out."""
+        out = array("i") if out is None else out
+        special = "<" in text and self.tokenizer.split_special.search(text)
+        for k, part in enumerate(self.tokenizer.split_special.split(text) if special else (text,)):
             if k % 2:
-                yield self.tokenizer.special[part]
+                out.append(self.tokenizer.special[part])
             elif _ODD_BLANKS.search(part):
-                for word in self.tokenizer.words(part):
-                    yield from self.word(word)
+                out.extend(chain.from_iterable(map(self.words.__getitem__, self.tokenizer.words(part))))
             else:
-                yield from chain.from_iterable(map(self.chunk, part.split()))
+                out.extend(chain.from_iterable(map(self.chunks.__getitem__, part.split())))
+        return out
 
 
 def count_words(docs: DataFrame, text_column: str, tokenizer_path: str) -> DataFrame:
@@ -248,15 +277,27 @@ def count_words(docs: DataFrame, text_column: str, tokenizer_path: str) -> DataF
     return docs.select(F.col(text_column).cast("string").alias("text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(counts: DataFrame, size: int) -> list[str]:
+    """At most size words, those of the highest counts, cut where the logarithm of the count steps; only they reach the driver."""
+    counts = checkpoint(counts.withColumn("level", F.floor(F.log2("n") * 16).cast("int")))
+    most, cut = 0, None
+    for r in sorted(counts.groupBy("level").count().collect(), reverse=True):  # some hundred levels at most
+        most += r["count"]
+        if most > size:
+            break
+        cut = r["level"]
+    return [] if cut is None else [r["word"] for r in counts.where(F.col("level") >= cut).select("word").collect()]
+
+
 def build_lexicon(docs: DataFrame, tokenizer_path: str, text_column: str = "text", size: int = LEXICON_WORDS) -> str:
-    """Compiles the size most frequent words and gives the name under which Spark ships the file to executors."""
+    """Compiles the most frequent words and gives the name under which Spark ships the file to executors."""
     spark = docs.sparkSession
     tokenizer = Tokenizer(tokenizer_path)
-    top = count_words(docs, text_column, tokenizer_path).orderBy(F.desc("n"), "word").limit(size).collect()
+    top = frequent_words(count_words(docs, text_column, tokenizer_path), size)
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     path = os.path.join(tempfile.mkdtemp(), name)
     with open(path, "wb") as f:
-        f.write(compile_lexicon({r["word"]: tokenizer.merge(r["word"]) for r in top}))
+        f.write(compile_lexicon({w: tokenizer.merge(w) for w in top}))
     spark.sparkContext.addFile(path)
     return name
 
@@ -285,7 +326,7 @@ def encode(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text
         for batch in pieces(batches, 4 << 20):
             ids, ends, decoded = array("i"), [0], []
             for text in texts(batch.column(1)):
-                ids.extend(encoder.encode(text))
+                encoder.encode(text, ids)
                 decoded.append(" ".join(map(strings.__getitem__, ids[ends[-1] :])))
                 ends.append(len(ids))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, np.int32) if ids else [], pa.int32()))
