@@ -183,10 +183,11 @@ class Lexicon:
         self.root, *sizes = struct.unpack_from("<8i", self.map)
         at = [32, *(32 + np.cumsum(sizes)).tolist()]
         view = memoryview(self.map)
-        self.first, self.targets, self.skips, self.at, self.ids = (view[at[k] : at[k + 1]].cast("i") for k in range(5))
-        self.label_at, self.final_at = at[5], at[6]
+        self.first, self.targets, self.skips, self.at = (view[at[k] : at[k + 1]].cast("i") for k in range(4))
+        self.ids_at, self.label_at, self.final_at = at[4], at[5], at[6]
 
-    def lookup(self, word: bytes) -> tuple[int, ...] | None:
+    def lookup(self, word: bytes) -> bytes | None:
+        """The ids as 32-bit numbers, as they stand in the file."""
         node, rank, labels = self.root, 0, self.label_at
         for byte in word:
             low = self.first[node]
@@ -197,17 +198,17 @@ class Lexicon:
             node = self.targets[arc]
         if not self.map[self.final_at + node]:
             return None
-        return tuple(self.ids[self.at[rank] : self.at[rank + 1]])
+        return self.map[self.ids_at + 4 * self.at[rank] : self.ids_at + 4 * self.at[rank + 1]]
 
 
 class _Bounded(dict):
     """What a function gave, remembered for keys of bounded length: the last REMEMBERED new ones and as many before them."""
 
-    def __init__(self, function: Callable[[str], tuple[int, ...]]):
+    def __init__(self, function: Callable[[str], bytes]):
         super().__init__()
         self.function, self.before = function, {}
 
-    def __missing__(self, key: str) -> tuple[int, ...]:
+    def __missing__(self, key: str) -> bytes:
         found = self.before.get(key)
         if found is None:
             found = self.function(key)
@@ -228,27 +229,31 @@ class Encoder:
         self.words = _Bounded(self._word)
         self.chunks = _Bounded(self._chunk)  # a chunk is text without a blank; no word crosses a blank
 
-    def _word(self, word: str) -> tuple[int, ...]:
+    def _word(self, word: str) -> bytes:
         raw = word.encode()
         found = self.lexicon.lookup(raw) if self.lexicon and len(raw) <= WORD_BYTES else None
-        return found if found is not None else self.tokenizer.merge(word)
+        return found if found is not None else array("i", self.tokenizer.merge(word)).tobytes()
 
-    def _chunk(self, chunk: str) -> tuple[int, ...]:
+    def _chunk(self, chunk: str) -> bytes:
         words = self.tokenizer.words(chunk)
-        return self.words[words[0]] if len(words) == 1 else tuple(chain.from_iterable(map(self.words.__getitem__, words)))
-
-    def encode(self, text: str, out: array | None = None) -> array:
-        """The ids, appended to out."""
-        out = array("i") if out is None else out
-        special = "<" in text and self.tokenizer.split_special.search(text)
-        for k, part in enumerate(self.tokenizer.split_special.split(text) if special else (text,)):
+        return self.words[words[0]] if len(words) == 1 else b"".join(map(self.words.__getitem__, words))
+
+    def encode_bytes(self, text: str) -> bytes:
+        """The ids as 32-bit numbers of this machine."""
+        if not ("<" in text and self.tokenizer.split_special.search(text)) and not _ODD_BLANKS.search(text):
+            return b"".join(map(self.chunks.__getitem__, text.split()))
+        out = []
+        for k, part in enumerate(self.tokenizer.split_special.split(text)):
             if k % 2:
-                out.append(self.tokenizer.special[part])
+                out.append(array("i", [self.tokenizer.special[part]]).tobytes())
             elif _ODD_BLANKS.search(part):
-                out.extend(chain.from_iterable(map(self.words.__getitem__, self.tokenizer.words(part))))
+                out.extend(map(self.words.__getitem__, self.tokenizer.words(part)))
             else:
-                out.extend(chain.from_iterable(map(self.chunks.__getitem__, part.split())))
-        return out
+                out.extend(map(self.chunks.__getitem__, part.split()))
+        return b"".join(out)
+
+    def encode(self, text: str) -> list[int]:
+        return array("i", self.encode_bytes(text)).tolist()
 
 
 def count_words(docs: DataFrame, text_column: str, tokenizer_path: str) -> DataFrame:
@@ -324,12 +329,12 @@ def encode(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text
         encoder = _encoder(tokenizer_path, name)
         strings = encoder.tokenizer.strings
         for batch in pieces(batches, 4 << 20):
-            ids, ends, decoded = array("i"), [0], []
-            for text in texts(batch.column(1)):
-                encoder.encode(text, ids)
-                decoded.append(" ".join(map(strings.__getitem__, ids[ends[-1] :])))
-                ends.append(len(ids))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, np.int32) if ids else [], pa.int32()))
+            parts = [encoder.encode_bytes(text) for text in texts(batch.column(1))]
+            ends = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype(np.int32)
+            ids = np.frombuffer(b"".join(parts), np.int32)
+            words = list(map(strings.__getitem__, ids.tolist()))
+            decoded = [" ".join(words[a:b]) for a, b in zip(ends.tolist(), ends[1:].tolist(), strict=False)]
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(decoded, pa.string())], names=["doc_id", "ids", "decoded"])
 
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
