@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -82,6 +83,15 @@ def pieces(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordB
         while at < n:
             yield batch.slice(at, step)
             at += step
+    give_back()
+
+
+def give_back() -> None:
+    """Hands memory that a task has freed back to the system, as the worker lives on for other operators' tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim:
+        trim(0)
 
 
 #: Bits of a sieve: 2 MB however many values it gets.

@@ -32,6 +32,8 @@ from geoloom.llm.common import pieces, small_batches, texts
 WINDOW, LEAST_LITERALS = 13, 6
 #: Bytes of benchmark text in a block.
 BLOCK_BYTES = 16 << 20
+#: Tokens whose codes a task remembers.
+REMEMBERED = 150_000
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
 #: Words that are units when they follow a number.
 UNITS = frozenset("mm cm m km mg g kg t ml l s sec second seconds min minute minutes h hour hours day days week weeks month months year years mile miles inch inches foot feet yard yards pound pounds ounce ounces dollar dollars euro euros cent cents percent degree degrees litre litres liter liters meter meters metre metres gram grams hz khz mhz w kw v".split())
@@ -56,20 +58,19 @@ class _Codes(dict):
         else:
             low = token.lower()
             found = (_code(low), _UNIT if low in UNITS else _TITLE if token[0].isupper() and token[1:] == low[1:] else _PLAIN)
-        if len(self) > 300_000:
+        if len(self) > REMEMBERED:
             self.clear()
         self[token] = found
         return found
 
 
-_codes = _Codes()
 _NAME_CODE, _UNIT_CODE = np.uint64(_code(NAME)), np.uint64(_code(UNIT))
 
 
-def template(text: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def template(text: str, known: _Codes) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Codes of the template's tokens, which of them are slots, and the tokens."""
     tokens = _TOKEN.findall(text)
-    pairs = list(map(_codes.__getitem__, tokens))
+    pairs = list(map(known.__getitem__, tokens))
     codes = np.array([p[0] for p in pairs], np.uint64)
     kinds = np.array([p[1] for p in pairs], np.int8)
     if not len(kinds):
@@ -108,10 +109,11 @@ class Benchmark:
     """The windows of some items, by hash."""
 
     def __init__(self, items: list[tuple[int, str]], window: int = WINDOW, least_literals: int = LEAST_LITERALS):
+        self.known = _Codes()
         self.places: dict[int, list[tuple[int, int, int]]] = {}  # hash: item's place, first token, size
         self.items: list[tuple[int, list[str], np.ndarray]] = []
         for item_id, text in items:
-            codes, slots, tokens = template(text or "")
+            codes, slots, tokens = template(text or "", self.known)
             size = min(window, len(codes))
             literal = np.concatenate([[0], np.cumsum(~slots)])
             for at, h in enumerate(window_hashes(codes, size).tolist() if size else ()):
@@ -124,7 +126,7 @@ class Benchmark:
 
     def matches(self, text: str) -> tuple[list[int], int]:
         """Ids of the items found in a text, and how many consistent windows."""
-        codes, slots, tokens = template(text)
+        codes, slots, tokens = template(text, self.known)
         found, n = set(), 0
         for size in self.sizes:
             hashes = window_hashes(codes, size)
