@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Point = tuple[float, float]
 
@@ -72,12 +73,12 @@ def _rings(value) -> list[list[Point]]:
     return [[(p["x"], p["y"]) for p in ring] for ring in value]
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def polygon_area(rings: pd.Series) -> pd.Series:
     return rings.map(lambda r: None if r is None else area(_rings(r)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def shared_area(a: pd.Series, b: pd.Series) -> pd.Series:
     """Area of the intersection of two columns of array<array<struct<x:double,y:double>>>."""
     return pd.Series(np.array([np.nan if x is None or y is None else intersection_area(_rings(x), _rings(y)) for x, y in zip(a, b, strict=True)]))
