@@ -35,7 +35,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm.common import checkpoint, give_back, pieces, small_batches, texts
+from geoloom.llm.common import checkpoint, pieces, small_batches, texts
 
 #: Words that the lexicon holds, and the bytes of the longest.
 LEXICON_WORDS, WORD_BYTES = 65_536, 48
@@ -252,10 +252,6 @@ class Encoder:
                 out.extend(map(self.chunks.__getitem__, part.split()))
         return b"".join(out)
 
-    def rest(self) -> None:
-        """Forgets what is older, at the end of a task, as the worker may go on to other work."""
-        self.words.before, self.chunks.before = {}, {}
-
     def encode(self, text: str) -> list[int]:
         return array("i", self.encode_bytes(text)).tolist()
 
@@ -282,7 +278,6 @@ def count_words(docs: DataFrame, text_column: str, tokenizer_path: str) -> DataF
             if len(chunks) > COUNTED:
                 yield flush()
         yield flush()
-        give_back()
 
     return docs.select(F.col(text_column).cast("string").alias("text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -333,7 +328,7 @@ def encode(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer_path, name)
         strings = encoder.tokenizer.strings
-        for batch in pieces(batches, 4 << 20):
+        for batch in pieces(batches, 4 << 20, tidy=False):
             parts = [encoder.encode_bytes(text) for text in texts(batch.column(1))]
             ends = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype(np.int32)
             ids = np.frombuffer(b"".join(parts), np.int32)
@@ -341,8 +336,6 @@ def encode(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text
             decoded = [" ".join(words[a:b]) for a, b in zip(ends.tolist(), ends[1:].tolist(), strict=False)]
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(decoded, pa.string())], names=["doc_id", "ids", "decoded"])
-        encoder.rest()
-        give_back()
 
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded string")

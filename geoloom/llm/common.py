@@ -75,7 +75,7 @@ def batch_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if not isinstance(columns[f.name], pa.Array) else columns[f.name] for f in schema], schema=schema)
 
 
-def pieces(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], limit: int, tidy: bool = True) -> Iterator[pa.RecordBatch]:
     """Batches cut so that each holds about limit bytes at most, or one row."""
     for batch in batches:
         at, n = 0, batch.num_rows
@@ -83,7 +83,8 @@ def pieces(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordB
         while at < n:
             yield batch.slice(at, step)
             at += step
-    give_back()
+    if tidy:
+        give_back()
 
 
 def give_back() -> None:
