@@ -40,7 +40,7 @@ from geoloom.llm.common import checkpoint, pieces, small_batches, texts
 #: Words that the lexicon holds, and the bytes of the longest.
 LEXICON_WORDS, WORD_BYTES = 65_536, 48
 #: Distinct words that a task counts before it hands them on, and chunks whose ids a worker remembers.
-COUNTED, REMEMBERED, REMEMBERED_LENGTH = 100_000, 200_000, 64
+COUNTED, REMEMBERED, REMEMBERED_LENGTH = 300_000, 250_000, 64
 #: Symbols up to which a word is merged by search of the least rank.
 SHORT = 40
 BITS = 20
