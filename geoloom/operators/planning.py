@@ -75,7 +75,8 @@ def nearest_release(requests: DataFrame, releases: DataFrame, request: str, date
     w = Window.partitionBy("q").orderBy("wanted", F.col("r").isNull())
     both = marked.withColumn("q", year)
     last = F.last("r", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    following = F.first("r", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    back = Window.partitionBy("q").orderBy(F.desc("wanted"), F.col("r").isNull())  # a growing frame, where one up to the end would be read again for each row
+    following = F.last("r", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, 0))
     found = both.withColumn("last", last).withColumn("following", following).where(F.col(request).isNotNull()).join(near, "q", "left")
     before, after = F.coalesce("last", "before_year"), F.coalesce("following", "after_year")
     gap = lambda c: F.abs(F.datediff(c, F.col("wanted")))
