@@ -20,9 +20,7 @@ import json
 import mmap
 import os
 import struct
-import tempfile
 import unicodedata
-import uuid
 from array import array
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
@@ -30,12 +28,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm.common import checkpoint, pieces, small_batches, texts
+from geoloom.llm.common import checkpoint, fresh_dir, pieces, small_batches, texts
 
 #: Words that the lexicon holds, and the bytes of the longest.
 LEXICON_WORDS, WORD_BYTES = 65_536, 48
@@ -299,12 +298,12 @@ def build_lexicon(docs: DataFrame, tokenizer_path: str, text_column: str = "text
     spark = docs.sparkSession
     tokenizer = Tokenizer(tokenizer_path)
     top = frequent_words(count_words(docs, text_column, tokenizer_path), size)
-    name = f"lexicon-{uuid.uuid4().hex}.bin"
-    path = os.path.join(tempfile.mkdtemp(), name)
-    with open(path, "wb") as f:
+    uri = fresh_dir(spark, "lexicon") + ".bin"
+    system, path = pafs.FileSystem.from_uri(uri)
+    with system.open_output_stream(path) as f:
         f.write(compile_lexicon({w: tokenizer.merge(w) for w in top}))
-    spark.sparkContext.addFile(path)
-    return name
+    spark.sparkContext.addFile(uri)
+    return os.path.basename(path)
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
