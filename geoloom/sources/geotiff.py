@@ -1,10 +1,15 @@
-"""Single-band float GeoTIFF: tiles, deflate or none, affine and nodata tags; a writer and a tile-partitioned data source."""
+"""GeoTIFF: a writer, headers, and a data source with a partition for each tile or strip.
+
+Tiles and strips, either byte order, plain, LZW or deflated, with predictors, bands apart or together. Offsets have 32
+bits, and rasters lie along the axes.
+"""
 
 from __future__ import annotations
 
 import glob
 import os
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -16,20 +21,33 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 TILE = 256
 SCHEMA = "raster_id string, row int, col int, value double"
 # TIFF tags and the sizes of field types.
-WIDTH, HEIGHT, BITS, COMPRESSION, TILE_WIDTH, TILE_HEIGHT, TILE_OFFSETS, TILE_COUNTS, FORMAT, SCALE, TIE, NODATA = 256, 257, 258, 259, 322, 323, 324, 325, 339, 33550, 33922, 42113
+WIDTH, HEIGHT, BITS, COMPRESSION, SAMPLES, PLANAR, PREDICTOR, TILE_WIDTH, TILE_HEIGHT, TILE_OFFSETS, TILE_COUNTS, FORMAT = 256, 257, 258, 259, 277, 284, 317, 322, 323, 324, 325, 339
+STRIP_OFFSETS, STRIP_ROWS, STRIP_COUNTS, SCALE, TIE, GEO_KEYS, NODATA = 273, 278, 279, 33550, 33922, 34735, 42113
+GEOGRAPHIC_KEY, PROJECTED_KEY = 2048, 3072
 FIELD = {1: "B", 2: "c", 3: "H", 4: "I", 12: "d", 16: "Q"}
 
 
-def write_geotiff(path: str, values: np.ndarray, left: float, top: float, pixel: float, nodata: float = float("nan")) -> None:
-    """Float32, 256-pixel deflated tiles; written beside its place and renamed."""
-    height, width = values.shape
+def write_geotiff(path: str, values: np.ndarray, left: float, top: float, pixel: float, nodata: float | None = float("nan"), epsg: int | None = None, pixel_y: float | None = None) -> None:
+    """256-pixel deflated tiles, written beside their place and renamed.
+
+    values is (rows, columns) or (bands, rows, columns); bytes stay bytes, all else becomes float32. Bands lie apart.
+    epsg names a projected system, or a geographic one below 5000 from 4000 on.
+    """
+    layers = values[None] if values.ndim == 2 else values
+    layers = layers if layers.dtype == np.uint8 else layers.astype(np.float32)
+    bands, height, width = layers.shape
     down, across = -(-height // TILE), -(-width // TILE)
-    padded = np.full((down * TILE, across * TILE), nodata, np.float32)
-    padded[:height, :width] = values
-    tiles = [zlib.compress(padded[r * TILE : (r + 1) * TILE, c * TILE : (c + 1) * TILE].tobytes()) for r in range(down) for c in range(across)]
+    padded = np.full((bands, down * TILE, across * TILE), 0 if nodata is None or layers.dtype == np.uint8 else nodata, layers.dtype)
+    padded[:, :height, :width] = layers
+    tiles = [zlib.compress(padded[b, r * TILE : (r + 1) * TILE, c * TILE : (c + 1) * TILE].tobytes()) for b in range(bands) for r in range(down) for c in range(across)]
     at = 8 + np.concatenate([[0], np.cumsum([len(t) for t in tiles])])
-    text = (repr(float(nodata)) + "\0").encode()
-    entries = [(WIDTH, 4, [width]), (HEIGHT, 4, [height]), (BITS, 3, [32]), (COMPRESSION, 3, [8]), (262, 3, [1]), (277, 3, [1]), (TILE_WIDTH, 3, [TILE]), (TILE_HEIGHT, 3, [TILE]), (TILE_OFFSETS, 4, at[:-1].tolist()), (TILE_COUNTS, 4, [len(t) for t in tiles]), (FORMAT, 3, [3]), (SCALE, 12, [pixel, pixel, 0.0]), (TIE, 12, [0.0, 0.0, 0.0, left, top, 0.0]), (NODATA, 2, text)]
+    bits = 8 * layers.dtype.itemsize
+    entries = [(WIDTH, 4, [width]), (HEIGHT, 4, [height]), (BITS, 3, [bits] * bands), (COMPRESSION, 3, [8]), (262, 3, [2 if bands == 3 else 1]), (SAMPLES, 3, [bands]), (PLANAR, 3, [2 if bands > 1 else 1]), (TILE_WIDTH, 3, [TILE]), (TILE_HEIGHT, 3, [TILE]), (TILE_OFFSETS, 4, at[:-1].tolist()), (TILE_COUNTS, 4, [len(t) for t in tiles]), (FORMAT, 3, [1 if bits == 8 else 3] * bands), (SCALE, 12, [pixel, pixel if pixel_y is None else pixel_y, 0.0]), (TIE, 12, [0.0, 0.0, 0.0, left, top, 0.0])]
+    if epsg is not None:
+        geographic = 4000 <= epsg < 5000
+        entries.append((GEO_KEYS, 3, [1, 1, 0, 2, 1024, 0, 1, 2 if geographic else 1, GEOGRAPHIC_KEY if geographic else PROJECTED_KEY, 0, 1, epsg]))
+    if nodata is not None:
+        entries.append((NODATA, 2, (repr(float(nodata)) + "\0").encode()))
     ifd, extra = int(at[-1]), b""
     table = struct.pack("<H", len(entries))
     spare = ifd + 2 + 12 * len(entries) + 4
@@ -38,29 +56,108 @@ def write_geotiff(path: str, values: np.ndarray, left: float, top: float, pixel:
         field = raw.ljust(4, b"\0") if len(raw) <= 4 else struct.pack("<I", spare + len(extra))
         extra += raw if len(raw) > 4 else b""
         table += struct.pack("<HHI", tag, kind, len(data)) + field
-    with open(path + ".part", "wb") as f:
+    part = f"{path}.{uuid.uuid4().hex}.part"
+    with open(part, "wb") as f:
         f.write(b"II*\0" + struct.pack("<I", ifd) + b"".join(tiles) + table + b"\0\0\0\0" + extra)
-    os.replace(path + ".part", path)
+    os.replace(part, path)
 
 
 def read_tags(path: str) -> dict[int, tuple]:
-    """The header alone; no pixel is read."""
+    """The header alone, and under 0 the byte order; no pixel is read."""
     with open(path, "rb") as f:
-        if f.read(4) != b"II*\0":
-            raise ValueError(f"{path} is no little-endian TIFF")
-        f.seek(struct.unpack("<I", f.read(4))[0])
-        raw = f.read(12 * struct.unpack("<H", f.read(2))[0])
-        tags = {}
+        order = {b"II*\0": "<", b"MM\0*": ">"}.get(f.read(4))
+        if order is None:
+            raise ValueError(f"{path} is no TIFF of 32-bit offsets")
+        f.seek(struct.unpack(order + "I", f.read(4))[0])
+        raw = f.read(12 * struct.unpack(order + "H", f.read(2))[0])
+        tags: dict[int, tuple] = {0: (order,)}
         for at in range(0, len(raw), 12):
-            tag, kind, count = struct.unpack_from("<HHI", raw, at)
-            form = f"<{count}{FIELD[kind]}"
+            tag, kind, count = struct.unpack_from(order + "HHI", raw, at)
+            if kind not in FIELD:
+                continue
+            form = f"{order}{count}{FIELD[kind]}"
             size = struct.calcsize(form)
             if size > 4:
-                f.seek(struct.unpack_from("<I", raw, at + 8)[0])
+                f.seek(struct.unpack_from(order + "I", raw, at + 8)[0])
             tags[tag] = struct.unpack(form, f.read(size) if size > 4 else raw[at + 8 : at + 8 + size])
+    if STRIP_OFFSETS in tags:  # a strip is a tile as wide as the raster
+        tags[TILE_OFFSETS], tags[TILE_COUNTS], tags[TILE_WIDTH] = tags[STRIP_OFFSETS], tags[STRIP_COUNTS], tags[WIDTH]
+        tags[TILE_HEIGHT] = (min(tags.get(STRIP_ROWS, tags[HEIGHT])[0], tags[HEIGHT][0]),)
     return tags
 
 
+@dataclass(frozen=True)
+class Header:
+    width: int
+    height: int
+    bands: int
+    bounds: tuple[float, float, float, float]
+    pixel: tuple[float, float]
+    crs: str | None
+
+
+def read_header(path: str) -> Header:
+    """Size, place and system of a raster that lies along the axes."""
+    tags = read_tags(path)
+    if SCALE not in tags or TIE not in tags:
+        raise ValueError(f"{path} is not placed by one point and a scale")
+    width, height, (sx, sy, _), (col, row, _, x, y, _) = tags[WIDTH][0], tags[HEIGHT][0], tags[SCALE], tags[TIE][:6]
+    left, top = x - col * sx, y + row * sy
+    keys = tags.get(GEO_KEYS, ())
+    codes = {keys[k]: keys[k + 3] for k in range(4, len(keys), 4) if keys[k + 1] == 0}
+    code = codes.get(PROJECTED_KEY) or codes.get(GEOGRAPHIC_KEY)
+    return Header(width, height, tags.get(SAMPLES, (1,))[0], (left, top - height * sy, left + width * sx, top), (sx, sy), f"EPSG:{code}" if code else None)
+
+
+def unpack_lzw(raw: bytes) -> bytes:
+    """The TIFF kind: codes from the high bit on, widened one entry early; 256 clears and 257 ends."""
+    fresh = [bytes([k]) for k in range(256)] + [b"", b""]
+    table, out, last = list(fresh), [], b""
+    held = bits = 0
+    wide = 9
+    for byte in raw:
+        held, bits = held << 8 | byte, bits + 8
+        if bits < wide:
+            continue
+        bits -= wide
+        code, held = held >> bits, held & (1 << bits) - 1
+        if code == 257:
+            break
+        if code == 256:
+            table, last, wide = list(fresh), b"", 9
+            continue
+        entry = table[code] if code < len(table) else last + last[:1]
+        out.append(entry)
+        if last:
+            table.append(last + entry[:1])
+        last = entry
+        wide = max(9, min(12, (len(table) + 1).bit_length()))
+    return b"".join(out)
+
+
+def read_block(path: str, tags: dict[int, tuple], offset: int, count: int) -> np.ndarray:
+    """The (rows, columns, samples) of a tile or strip, of one sample where bands lie apart; the last strip may be short."""
+    with open(path, "rb") as f:
+        f.seek(offset)
+        raw = f.read(count)
+    packed = tags.get(COMPRESSION, (1,))[0]
+    if packed not in (1, 5, 8, 32946):
+        raise ValueError(f"{path} has compression {packed}")
+    raw = raw if packed == 1 else unpack_lzw(raw) if packed == 5 else zlib.decompress(raw)
+    form, bits, wide = tags.get(FORMAT, (1,))[0], tags[BITS][0], tags[TILE_WIDTH][0]
+    kind = np.dtype(tags[0][0] + {1: "u", 2: "i", 3: "f"}[form] + str(bits // 8))
+    samples = tags.get(SAMPLES, (1,))[0] if tags.get(PLANAR, (1,))[0] == 1 else 1
+    rows = len(raw) // (wide * samples * kind.itemsize)
+    block = np.frombuffer(raw, kind, rows * wide * samples).reshape(rows, wide, samples)
+    predictor = tags.get(PREDICTOR, (1,))[0]
+    if predictor == 2:
+        return np.cumsum(block, axis=1, dtype=kind.newbyteorder("="))
+    if predictor == 3:  # bytes of each place together, high ones first, each the difference to the one before
+        planes = np.cumsum(np.frombuffer(raw, np.uint8, block.nbytes).reshape(rows, -1, samples), axis=1, dtype=np.uint8)
+        return np.ascontiguousarray(planes.reshape(rows, kind.itemsize, wide * samples).transpose(0, 2, 1)).view(kind.newbyteorder(">")).reshape(rows, wide, samples)
+    return block
+
+
 @dataclass
 class Tile(InputPartition):
     path: str
@@ -72,29 +169,28 @@ class Tile(InputPartition):
 
 class GeoTiffReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.paths = sorted(glob.glob(options["path"]))
+        self.paths, self.band = sorted(glob.glob(options["path"])), int(options.get("band", 1))
 
     def partitions(self) -> list[Tile]:
         out = []
         for p in self.paths:
             tags = read_tags(p)
-            across = -(-tags[WIDTH][0] // tags[TILE_WIDTH][0])
-            out += [Tile(p, k // across * tags[TILE_HEIGHT][0], k % across * tags[TILE_WIDTH][0], o, n) for k, (o, n) in enumerate(zip(tags[TILE_OFFSETS], tags[TILE_COUNTS], strict=True))]
+            if not 1 <= self.band <= tags.get(SAMPLES, (1,))[0]:
+                raise ValueError(f"{p} has no band {self.band}")
+            high, wide = tags[TILE_HEIGHT][0], tags[TILE_WIDTH][0]
+            across, down = -(-tags[WIDTH][0] // wide), -(-tags[HEIGHT][0] // high)
+            first = (self.band - 1) * across * down if tags.get(PLANAR, (1,))[0] == 2 else 0
+            blocks = list(zip(tags[TILE_OFFSETS], tags[TILE_COUNTS], strict=True))[first : first + across * down]
+            out += [Tile(p, k // across * high, k % across * wide, o, n) for k, (o, n) in enumerate(blocks)]
         return out or [Tile("", 0, 0, 0, 0)]
 
     def read(self, tile: Tile) -> Iterator[pa.RecordBatch]:
         if not tile.count:
             return
         tags = read_tags(tile.path)
-        with open(tile.path, "rb") as f:
-            f.seek(tile.offset)
-            raw = f.read(tile.count)
-        if tags[COMPRESSION][0] not in (1, 8, 32946):
-            raise ValueError(f"{tile.path} has compression {tags[COMPRESSION][0]}")
-        high, wide = tags[TILE_HEIGHT][0], tags[TILE_WIDTH][0]
-        kind = {(3, 32): "<f4", (3, 64): "<f8", (1, 8): "u1", (1, 16): "<u2", (2, 16): "<i2"}[tags.get(FORMAT, (1,))[0], tags[BITS][0]]
-        values = np.frombuffer(raw if tags[COMPRESSION][0] == 1 else zlib.decompress(raw), kind).reshape(high, wide)[: tags[HEIGHT][0] - tile.row, : tags[WIDTH][0] - tile.col].astype(float)
-        marker = float(b"".join(tags[NODATA]).rstrip(b"\0")) if NODATA in tags else np.nan
+        block = read_block(tile.path, tags, tile.offset, tile.count)
+        values = block[: tags[HEIGHT][0] - tile.row, : tags[WIDTH][0] - tile.col, self.band - 1 if block.shape[2] > 1 else 0].astype(float)
+        marker = float(b"".join(tags[NODATA]).rstrip(b"\0 ")) if NODATA in tags else np.nan
         bad = np.isnan(values) | (values == marker)
         rows, cols = np.mgrid[tile.row : tile.row + values.shape[0], tile.col : tile.col + values.shape[1]]
         name = pa.array([tile.path.rpartition("/")[2].rpartition(".")[0]] * values.size, pa.string())
@@ -102,7 +198,7 @@ class GeoTiffReader(DataSourceReader):
 
 
 class GeoTiffSource(DataSource):
-    """spark.dataSource.register(GeoTiffSource); spark.read.format("geotiff_cells").load("/rasters/*.tif")"""
+    """spark.dataSource.register(GeoTiffSource); spark.read.format("geotiff_cells").option("band", 1).load("/rasters/*.tif")"""
 
     @classmethod
     def name(cls) -> str:

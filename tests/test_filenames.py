@@ -2,7 +2,7 @@
 
 import pytest
 
-from geoloom.functions import filenames
+from geoloom.functions import crs, filenames
 
 CASES = [
     ("a_19TCK388906.laz", "mgrs_absolute_tokens", 388000, 4906000),
@@ -50,3 +50,15 @@ def test_known_names(spark, parser):
         assert rows[0]["epsg"] == 32611
         return
     assert [(r["x"], r["y"]) for r in rows] == [(c[2], c[3]) for c in cases]
+
+
+def test_corner_of_a_projected_grid(spark):
+    """Names made from corners of the state plane grid lead back to them; a cell without a corner gives null."""
+    names, want = ["a_10TFL000000.laz", "a_11TFL000000.laz", "a_10TFL0000.laz", "none.laz"], [(None, None)] * 4
+    for x, y in ((6500000.0, 2200000.0), (6605000.0, 1995000.0), (6420000.0, 2345000.0)):
+        east, north = (float(v) for v in crs.transform(x, y, "EPSG:6416", "EPSG:6339"))
+        column, row = "ABCDEFGH"[int(east // 100000) - 1], "ABCDEFGHJKLMNPQRSTUV"[int(north // 100000 + 5) % 20]
+        names.append(f"USGS_10T{column}{row}{int(east % 100000 // 100):03d}{int(north % 100000 // 100):03d}.laz")
+        want.append((x, y))
+    frame = spark.createDataFrame(list(enumerate(names)), "k int, filename string")
+    assert [(r["x"], r["y"]) for r in filenames.decode(frame, "ca_upper_pit_5k").orderBy("k").collect()] == want

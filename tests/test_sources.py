@@ -8,14 +8,15 @@ import sqlite3
 import struct
 import threading
 import zipfile
+import zlib
 
+import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from geoloom import __main__ as cli
 from geoloom import components, settings
 from geoloom.functions import wkb
-from geoloom.sources import archives, catalogs, download, geopackage, listing, shapefile
+from geoloom.sources import archives, catalogs, download, geopackage, geotiff, listing, rasters, shapefile
 
 SQUARE = [(0.0, 0.0), (0.0, 4.0), (4.0, 4.0), (4.0, 0.0), (0.0, 0.0)]
 HOLE = [(1.0, 1.0), (2.0, 1.0), (2.0, 2.0), (1.0, 2.0), (1.0, 1.0)]
@@ -272,3 +273,91 @@ def test_settings(tmp_path):
         with pytest.raises(ValueError):
             settings.output_folder(None, mixed, "/w")
     assert settings.output_folder("o", ["/a/1.tif", "/b/2.tif"], "/w") == "/w/o"
+
+
+def lzw(raw):
+    """A plain encoder: a clear code ahead, codes widened one entry early."""
+    table = {bytes([k]): k for k in range(256)}
+    bits, size, word = f"{256:09b}", 258, b""
+    for byte in raw:
+        if word + bytes([byte]) in table:
+            word += bytes([byte])
+            continue
+        bits += f"{table[word]:0{max(9, min(12, size.bit_length()))}b}"
+        table[word + bytes([byte])] = size
+        size += 1
+        word = bytes([byte])
+        if size == 4094:
+            bits += f"{table[word]:012b}{256:012b}"
+            table, size, word = {bytes([k]): k for k in range(256)}, 258, b""
+    if word:
+        bits += f"{table[word]:0{max(9, min(12, size.bit_length()))}b}"
+        size += 1
+    bits += f"{257:0{max(9, min(12, size.bit_length()))}b}"
+    bits += "0" * (-len(bits) % 8)
+    return int(bits, 2).to_bytes(len(bits) // 8)
+
+
+def test_lzw():
+    rng = np.random.default_rng(1)
+    for raw in (b"", b"a", b"aaaaaaa" * 90, rng.integers(0, 3, 20000).astype(np.uint8).tobytes(), rng.integers(0, 256, 9000).astype(np.uint8).tobytes()):
+        assert geotiff.unpack_lzw(lzw(raw)) == raw
+
+
+@pytest.mark.parametrize("predictor", [1, 2])
+def test_striped_big_endian_tiff(spark, tmp_path, predictor):
+    """Three bands together, strips of two rows of which the last is short."""
+    pixels = np.arange(5 * 4 * 3, dtype=np.uint16).reshape(5, 4, 3) * 999
+    stored = np.diff(pixels, axis=1, prepend=np.zeros((5, 1, 3), np.uint16)) if predictor == 2 else pixels
+    strips = [lzw(stored[k : k + 2].astype(">u2").tobytes()) for k in (0, 2, 4)]
+    at = 8 + np.concatenate([[0], np.cumsum([len(s) for s in strips])])
+    ifd = int(at[-1])
+    data = b"".join([struct.pack(">3I", *at[:3]), struct.pack(">3I", *map(len, strips)), struct.pack(">3H", 16, 16, 16)])
+    spare = ifd + 2 + 12 * 9 + 4
+    entries = [(256, 3, 1, 4 << 16), (257, 3, 1, 5 << 16), (258, 3, 3, spare + 24), (259, 3, 1, 5 << 16), (273, 4, 3, spare), (277, 3, 1, 3 << 16), (278, 3, 1, 2 << 16), (279, 4, 3, spare + 12), (317, 3, 1, predictor << 16)]
+    path = tmp_path / "s.tif"
+    path.write_bytes(b"MM\0*" + struct.pack(">I", ifd) + b"".join(strips) + struct.pack(">H", 9) + b"".join(struct.pack(">HHII", *e) for e in entries) + b"\0\0\0\0" + data)
+    spark.dataSource.register(geotiff.GeoTiffSource)
+    got = spark.read.format("geotiff_cells").option("band", 2).load(str(path)).collect()
+    assert {(r["row"], r["col"]): r["value"] for r in got} == {(r, c): float(pixels[r, c, 1]) for r in range(5) for c in range(4)}
+    with pytest.raises(Exception, match="no band 4"):
+        spark.read.format("geotiff_cells").option("band", 4).load(str(path)).collect()
+
+
+def test_rasters_from_cells(spark, tmp_path):
+    rows = [("a", r, c, float(r * 300 + c)) for r in range(3) for c in range(300) if c != 7] + [("a", 9, 0, 1.0), ("a", 0, -1, 1.0), ("a", 1, 7, None)]
+    cells = spark.createDataFrame(rows, "raster_id string, row int, col int, value double")
+    places = spark.createDataFrame([("a", 300, 3, 10.0, 22.4, 0.5, 32610), ("b", 2, 2, 0.0, 0.0, 1.0, 4326), ("c", 1 << 20, 1 << 20, 0.0, 0.0, 1.0, None)], "raster_id string, width int, height int, left double, top double, pixel double, epsg int")
+    got = {r["raster_id"]: r for r in rasters.write_cells(cells, places, str(tmp_path), "_dsm").collect()}
+    assert (got["a"]["valid"], got["b"]["valid"], got["c"]["path"]) == (897, 0, None) and got["c"]["error"]
+    spark.dataSource.register(geotiff.GeoTiffSource)
+    back = spark.read.format("geotiff_cells").load(str(tmp_path / "a_dsm.tif")).where("value is not null")
+    assert sorted((r["row"], r["col"], r["value"]) for r in back.collect()) == sorted(r[1:] for r in rows[:897])
+    regions = rasters.raster_regions(listing.folder(spark, str(tmp_path))).orderBy("region_id").collect()
+    assert [(r["region_id"], r["minx"], r["maxy"], r["maxx"], r["crs"], r["width"]) for r in regions] == [("a_dsm", 10.0, 22.4, 160.0, "EPSG:32610", 300), ("b_dsm", 0.0, 0.0, 2.0, "EPSG:4326", 2)]
+
+
+def png(path, pixels):
+    chunk = lambda kind, raw: struct.pack(">I", len(raw)) + kind + raw + struct.pack(">I", zlib.crc32(kind + raw))
+    high, wide, _ = pixels.shape
+    raw = b"".join(b"\0" + row.tobytes() for row in pixels)
+    path.write_bytes(b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">2I5B", wide, high, 8, 2, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b""))
+
+
+def test_map_tiles(spark, tmp_path):
+    pixels = np.random.default_rng(2).integers(0, 256, (16, 16, 3)).astype(np.uint8)
+    images = tmp_path / "images"
+    images.mkdir()
+    png(images / "tile_z2_x1_y2.png", pixels)
+    png(images / "nowhere.png", pixels)
+    read = spark.read.format("image").load(str(images))
+    got = {r["raster_id"]: r for r in rasters.write_tiles(read, str(tmp_path / "out")).collect()}
+    assert got["nowhere"]["error"] and got["tile_z2_x1_y2"]["error"] is None
+    path = got["tile_z2_x1_y2"]["path"]
+    head = geotiff.read_header(path)
+    side = 20037508.342789244 / 2
+    assert head.crs == "EPSG:3857" and head.bands == 3 and head.bounds == pytest.approx((-side, -side, 0.0, 0.0), abs=1e-6)
+    spark.dataSource.register(geotiff.GeoTiffSource)
+    for band in (1, 2, 3):
+        back = spark.read.format("geotiff_cells").option("band", band).load(path).collect()
+        assert {(r["row"], r["col"]): r["value"] for r in back} == {(r, c): float(pixels[r, c, band - 1]) for r in range(16) for c in range(16)}
