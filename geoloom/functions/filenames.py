@@ -320,13 +320,13 @@ def names_of() -> list[str]:
 
 
 @F.pandas_udf(T.StructType().add("x", T.DoubleType()).add("y", T.DoubleType()))
-def only_corner(easting: pd.Series, northing: pd.Series) -> pd.DataFrame:
-    """The corner of the 5,000-foot state plane grid in a 100 m cell of zone 10, null where there is none or more than one.
+def only_corner(cell: pd.DataFrame) -> pd.DataFrame:
+    """The corner of the 5,000-foot state plane grid in a 100 m cell (e, n) of zone 10, null where there is none or more than one.
 
     The cell's envelope is taken to the state plane, as a rotated point could land on the wrong side of a grid line.
     """
-    known = (easting.notna() & northing.notna()).to_numpy()
-    e, n = easting[known].to_numpy(float), northing[known].to_numpy(float)
+    known = cell["e"].notna().to_numpy() & cell["n"].notna().to_numpy()
+    e, n = cell["e"][known].to_numpy(float), cell["n"][known].to_numpy(float)
     low_x, low_y, high_x, high_y = crs.envelopes(e, n, e + 100, n + 100, "EPSG:6339", "EPSG:6416")
 
     def up(v):
@@ -335,7 +335,7 @@ def only_corner(easting: pd.Series, northing: pd.Series) -> pd.DataFrame:
 
     x, y = up(low_x), up(low_y)
     one = (x <= high_x) & (high_x < x + 5000) & (y <= high_y) & (high_y < y + 5000)
-    out = pd.DataFrame({"x": None, "y": None}, index=easting.index, dtype=object)
+    out = pd.DataFrame({"x": None, "y": None}, index=cell.index, dtype=object)
     out.loc[known, "x"], out.loc[known, "y"] = np.where(one, x, None), np.where(one, y, None)
     return out
 
@@ -343,9 +343,10 @@ def only_corner(easting: pd.Series, northing: pd.Series) -> pd.DataFrame:
 def _decode_upper_pit(frame, name: str):
     parts = mgrs_sql(name)
     fields = mgrs_fields("f", parts["column"])
-    cell = lambda what: F.expr(f"case when f.z = 10 and length(f.d) = 6 then cast({fields[what]} as double) end")
-    out = frame.withColumn("f", F.expr(parts["found"])).withColumn("f", only_corner(cell("easting"), cell("northing")))
-    return out.withColumn("x", F.col("f.x")).withColumn("y", F.col("f.y")).withColumn("epsg", F.lit(None).cast("int")).drop("f")
+    # bound as a variable, since a column of its own would be computed anew for each mention
+    cell = F.expr(f"get(transform(array({parts['found']}), f -> case when f.z = 10 and length(f.d) = 6 then named_struct('e', cast({fields['easting']} as double), 'n', cast({fields['northing']} as double)) end), 0)")
+    out = frame.withColumn("_corner", only_corner(cell))
+    return out.withColumn("x", F.col("_corner.x")).withColumn("y", F.col("_corner.y")).withColumn("epsg", F.lit(None).cast("int")).drop("_corner")
 
 
 def decode(frame, parser: str, name: str = "filename"):

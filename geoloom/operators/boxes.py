@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from geoloom.functions import polygons
+
 SIDES = ("minx", "miny", "maxx", "maxy")
 
 
@@ -60,3 +62,12 @@ def coverage(selected: DataFrame, regions: DataFrame) -> DataFrame:
     gained = selected.groupBy("l_region_id").agg(F.sum("new_area").alias("covered"))
     area = (F.col("l_maxx") - F.col("l_minx")) * (F.col("l_maxy") - F.col("l_miny"))
     return regions.join(gained, "l_region_id", "left").withColumn("ratio", F.coalesce("covered", F.lit(0.0)) / area)
+
+
+def footprint_join(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
+    """Pairs whose polygons (l_rings, r_rings) share area, with shared_area. Sides must be the polygons' bounds.
+
+    Boxes meet through cells first; only pairs whose boxes overlap are measured. Null shapes meet nothing.
+    """
+    near = box_join(left, right, size).where(F.col("l_rings").isNotNull() & F.col("r_rings").isNotNull())
+    return near.withColumn("shared_area", polygons.shared_area("l_rings", "r_rings")).where("shared_area > 0")

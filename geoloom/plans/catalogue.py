@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoloom.functions import filenames, grids, text
-from geoloom.operators import boxes, ledger, planning, points, rasters
+from geoloom.operators import boxes, ledger, naming, planning, points, rasters
 from geoloom.plans.fixtures import FIXTURES, fixture, fixture_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +94,19 @@ def _(spark, sf_dir, regions, tiles):
     return boxes.box_join(boxes.prefixed(regions, "l_"), boxes.prefixed(tiles, "r_"), CELL, touch=True).select(F.col("l_region_id").alias("region_id"), F.col("r_tile_id").alias("tile_id"))
 
 
+def _with_rings(frame: DataFrame, side: str) -> DataFrame:
+    """Regions as right triangles at their lower left corner, tiles as their boxes."""
+    corners = [("minx", "miny"), ("maxx", "miny"), *([("maxx", "maxy")] if side == "r_" else []), ("minx", "maxy")]
+    return boxes.prefixed(frame, side).withColumn(f"{side}rings", F.array(F.array(*(F.struct(F.col(side + x).alias("x"), F.col(side + y).alias("y")) for x, y in corners))))
+
+
+# A triangle shares area with a box if the box's lower left corner, moved into the triangle's box, lies inside the slope.
+@query("j05_footprints", f"SELECT l.region_id, r.tile_id FROM {_PAIRS} WHERE (greatest(l.minx, r.minx) - l.minx) / (l.maxx - l.minx) + (greatest(l.miny, r.miny) - l.miny) / (l.maxy - l.miny) < 1 - 1e-9", "regions", "tiles")
+def _(spark, sf_dir, regions, tiles):
+    found = boxes.footprint_join(_with_rings(regions, "l_"), _with_rings(tiles, "r_"), CELL)
+    return found.where("shared_area > 1e-6").select(F.col("l_region_id").alias("region_id"), F.col("r_tile_id").alias("tile_id"))
+
+
 _COVERAGE = f"""
     WITH p AS (SELECT l.region_id, l.state, r.tile_id, r.rank, (l.maxx - l.minx) * (l.maxy - l.miny) AS area, greatest(l.minx, r.minx) AS x0, least(l.maxx, r.maxx) AS x1, greatest(l.miny, r.miny) AS y0, least(l.maxy, r.maxy) AS y1 FROM {_PAIRS}),
     xs AS (SELECT region_id, x AS a, lead(x) OVER (PARTITION BY region_id ORDER BY x) AS b FROM (SELECT region_id, x0 AS x FROM p UNION SELECT region_id, x1 FROM p)),
@@ -272,6 +285,17 @@ def _(spark, sf_dir, names):
     return filenames.decode(names.select("k", F.expr("concat('USGS_10TFL', c, d, '.laz')").alias("filename")), "ca_upper_pit_5k")
 
 
+_GRID = {"x_scale": 1000, "y_scale": 1000, "x_offset": 0, "y_offset": 0, "x_anchor": "min", "y_anchor": "max", "width": 1500, "height": 1500}
+_CATALOGUE = {"version": 1, "projects": [{"name": "small", "match": {"workunit": "^small"}, "schemes": [{"parser": "axis_pair", "crs": "EPSG:26917", "grid": _GRID}]}, {"name": "green", "match": {"workunit": "^(medium|large)", "project": "green"}, "schemes": [{"parser": "axis_pair", "crs": "workunit", "grid": _GRID}]}]}
+_UNITS = "SELECT p_partkey, p_type AS workunit, p_name AS project, CASE WHEN p_size % 3 = 0 THEN '26918' END AS horiz_crs, 1000 + p_partkey % 9000 AS e, 1000 + (p_partkey * 7) % 9000 AS n, p_partkey % 11 = 0 AS odd FROM part"
+
+
+@query("c11_plan_by_rules", f"WITH u AS ({_UNITS}), r AS (SELECT *, CASE WHEN regexp_matches(workunit, '(?i)^small') THEN 'small' WHEN regexp_matches(workunit, '(?i)^(medium|large)') AND regexp_matches(project, '(?i)green') THEN 'green' END AS rule FROM u), t AS (SELECT *, CASE WHEN odd THEN NULL WHEN rule = 'small' THEN 'EPSG:26917' WHEN rule = 'green' THEN 'EPSG:' || horiz_crs END AS tile_crs FROM r) SELECT p_partkey, rule, tile_crs, CASE WHEN tile_crs IS NOT NULL THEN e * 1000.0::double END AS minx, CASE WHEN tile_crs IS NOT NULL THEN n * 1000.0::double END AS maxy, coalesce(NOT odd AND rule IS NOT NULL AND tile_crs IS NULL, false) AS no_system FROM t")
+def _(spark, sf_dir):
+    units = table(spark, sf_dir, "part").selectExpr("p_partkey", "p_type AS workunit", "p_name AS project", "cast(null AS string) AS lpc_link", "case when p_size % 3 = 0 then '26918' end AS horiz_crs", "case when p_partkey % 11 = 0 then 'odd.laz' else concat('t_E', cast(1000 + p_partkey % 9000 as string), 'N', cast(1000 + (p_partkey * 7) % 9000 as string), '.laz') end AS filename")
+    return naming.plan_tiles(units, naming.parse_rules(_CATALOGUE)).select("p_partkey", "rule", "tile_crs", "minx", "maxy", "no_system")
+
+
 # Links and documents
 
 
