@@ -8,7 +8,8 @@ Base spans per kind are leftmost non-overlapping matches that pass their check:
 * phone ``\+[0-9][\x20().0-9-]+[0-9]``, 8 to 15 digits
 
 The method adds spans. High-recall generators propose overlapping candidates (disguised addresses, addresses
-without a known ending, IPv6, digit groups with other separators, shorter cards, national numbers); boosted trees
+without a known ending, IPv6, digit groups with other separators, shorter cards, national numbers; of a run of digit
+groups every sub-span of 7 to 19 digits); boosted trees
 score each on format and context features; a threshold per kind, calibrated for precision on examples kept out
 of training, selects; of selected spans that overlap, the better score stays, and none overlaps a base span.
 The trees are trained here on composed examples, as no table labels personal data.
@@ -21,8 +22,10 @@ and text columns are read, so other columns cannot clash.
 from __future__ import annotations
 
 import functools
+import itertools
 import random
 import re
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -101,7 +104,13 @@ _SPACED = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} {0,2}@ {0,2}[
 _MARKED_AT = re.compile(r"[(\[{<]at[)\]}>]", re.I)
 _COLONS = re.compile(r":[0-9A-Fa-f]{0,4}:")
 _IPV6 = re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}|:)(?::[0-9A-Fa-f]{0,4}){2,7}(?![0-9A-Za-z:])")
-_DIGITS = re.compile(r"(?<![0-9A-Za-z.])\+?\(?[0-9][0-9 ()./ –‑-]{5,40}[0-9](?![0-9A-Za-z])")
+#: What may stand between the digit groups of a run; a longer gap ends it.
+_SEPARATORS, GAP = " ()./ –‑-", 40
+_RUN = re.compile(rf"[0-9]+(?:[{re.escape(_SEPARATORS)}]{{1,{GAP}}}[0-9]+)*")
+_GROUP = re.compile(r"[0-9]+")
+_LEAST_DIGITS, _MOST_DIGITS = 7, 19
+#: Candidates that are scored at a time.
+SCORED = 4096
 
 
 def candidates(text: str) -> Iterator[tuple[str, int, int]]:
@@ -114,37 +123,95 @@ def candidates(text: str) -> Iterator[tuple[str, int, int]]:
         yield from (("email", *m.span()) for m in _SPOKEN.finditer(text))
     if _COLONS.search(text):
         yield from (("ip", *m.span()) for m in _IPV6.finditer(text))
-    for m in _DIGITS.finditer(text):
-        n = sum("0" <= c <= "9" for c in m.group())
-        if m.group().count(".") == 3 and n <= 12:
-            yield ("ip", *m.span())
-        if 13 <= n <= 19:
-            yield ("card", *m.span())
-        if 7 <= n <= 15:
-            yield ("phone", *m.span())
+    for m in _RUN.finditer(text):
+        if m.end() - m.start() >= _LEAST_DIGITS:
+            yield from _numbers(text, *m.span())
+
+
+def _numbers(text: str, start: int, end: int) -> Iterator[tuple[str, int, int]]:
+    """Sub-spans of a run from a group's start to a group's end; the digits of one bound how many a group starts."""
+    groups = [g.span() for g in _GROUP.finditer(text, start, end)]
+    open_end = text[end : end + 1].isascii() and text[end : end + 1].isalpha()
+    last = len(groups) - open_end
+    for i in range(last):
+        first = groups[i][0]
+        if i == 0:
+            head = first - (text[first - 1 : first] == "(")
+            head -= text[head - 1 : head] == "+"
+            if not _free_before(text, head):
+                head = first
+            if not _free_before(text, head):
+                continue
+        else:
+            head = first - (text[first - 1] == "(")
+        n = points = 0
+        for j in range(i, last):
+            n += groups[j][1] - groups[j][0]
+            if j > i:
+                points += text.count(".", groups[j - 1][1], groups[j][0])
+            if n > _MOST_DIGITS:
+                break
+            stop = groups[j][1]
+            if points == 3 and n <= 12:
+                yield ("ip", head, stop)
+            if 13 <= n:
+                yield ("card", head, stop)
+            if _LEAST_DIGITS <= n <= 15:
+                yield ("phone", head, stop)
+
+
+def _free_before(text: str, at: int) -> bool:
+    before = text[at - 1] if at else " "
+    return not (before == "." or before.isascii() and before.isalnum())
 
 
 _CUES = {"email": ("mail", "write", "contact", "kontakt", "correo", "courriel", "@"), "ip": ("ip", "host", "server", "address", "login", "client"), "card": ("card", "visa", "karte", "carte", "tarjeta", "pay"), "phone": ("phone", "tel", "call", "fax", "mobil", "ruf", "llam", "appel")}
+_PART, _HEX_LETTER, _GAP = re.compile(r"[A-Za-z0-9-]+"), re.compile(r"[a-fA-F]"), re.compile(r"(?<=[0-9])[^0-9]+(?=[0-9])")
+_DATE = re.compile(r"(?<![0-9])(?:(?:19|20)[0-9]{2}[-./][0-9]{1,2}[-./][0-9]{1,2}|[0-9]{1,2}[-./][0-9]{1,2}[-./](?:19|20)[0-9]{2})(?![0-9])")
+_MEASURE = re.compile(r" ?(?:%|eur|usd|kg|km|cm|mm|m\b|s\b)")
 _ENDINGS = frozenset("com org net edu gov io de fr es eu uk info co".split())
 
 
+@functools.lru_cache(4096)
+def _before(before: str) -> tuple[float, ...]:
+    left = before.rstrip(_SEPARATORS)
+    digit = "0" <= left[-1:] <= "9"
+    return (
+        *(float(any(cue in before for cue in _CUES[k])) for k in KINDS), float(before[-1:].isalnum()), float(any(cue in before for cue in ("order", "no.", "nr", "isbn", "id", "version", "date", "token", "ref", "$", "eur"))),
+        float(digit), len(before) - len(left), float(digit and before[-1:] in (".", "-", "/")),
+    )
+
+
+@functools.lru_cache(4096)
+def _after(after: str) -> tuple[float, ...]:
+    right = after.lstrip(_SEPARATORS)
+    digit = "0" <= right[:1] <= "9"
+    return (
+        *(float(any(cue in after for cue in _CUES[k])) for k in KINDS), float(after[:1].isalnum()), float(bool(_MEASURE.match(after))),
+        float(digit), len(after) - len(right), float(digit and after[:1] in (".", "-", "/")),
+    )
+
+
 def features(text: str, kind: str, start: int, end: int) -> list[float]:
-    body, before, after = text[start:end], text[max(0, start - CONTEXT) : start].lower(), text[end : end + CONTEXT].lower()
-    digits = [c for c in body if "0" <= c <= "9"]
-    joined = "".join(digits)
-    groups = [len(g) for g in re.findall(r"[0-9]+", body)]
-    parts = re.findall(r"[A-Za-z0-9-]+", body)
-    year = any(re.fullmatch(r"(?:19|20)[0-9][0-9]", g) for g in re.findall(r"[0-9]+", body))
+    body, at = text[start:end], KINDS.index(kind)
+    before, after = _before(text[max(0, start - CONTEXT) : start].lower()), _after(text[end : end + CONTEXT].lower())
+    runs = _GROUP.findall(body)
+    joined = "".join(runs)
+    groups = [len(g) for g in runs]
+    parts = _PART.findall(body)
+    year = any(len(g) == 4 and g[:2] in ("19", "20") for g in runs)
     separators = {c for c in body if not c.isalnum()}
-    octets = [int(g) for g in re.findall(r"[0-9]+", body) if len(g) < 6]
+    octets = [int(g) for g in runs if len(g) < 6]
+    gaps = _GAP.findall(body)
+    low = body.lower()
     return [
-        *(float(kind == k) for k in KINDS),
-        len(body), len(digits), len(groups), max(groups, default=0), min(groups, default=0), groups[0] if groups else 0, groups[-1] if groups else 0,
-        float(len(digits) > 11 and luhn(joined)), float(joined[:1] or -1), float(joined[:2] in ("34", "37")), len(set(digits)), float(body[:1] == "+"), float(body[:2] == "00" or body[:1] == "0"),
-        body.count("."), body.count("-"), body.count(" "), body.count("("), body.count("/"), body.count(":"), len(separators), float(year), float(max(octets, default=0)), float(bool(_MARKED_AT.search(body))), float(" dot " in body.lower() or "dot)" in body.lower() or "dot]" in body.lower()),
-        float(bool(parts) and parts[-1].lower() in _ENDINGS), float(bool(parts) and len(parts[-1])), float("::" in body), len(re.findall(r"[a-fA-F]", body)) / max(1, len(body)), len(set(groups)),
-        *(float(any(cue in before for cue in _CUES[k])) for k in KINDS), float(any(cue in after for cue in _CUES[kind])),
-        float(before[-1:].isalnum()), float(after[:1].isalnum()), float(any(cue in before for cue in ("order", "no.", "nr", "isbn", "id", "version", "date", "token", "ref", "$", "eur"))), float(bool(re.match(r" ?(?:%|eur|usd|kg|km|cm|mm|m\b|s\b)", after))),
+        *(float(k == at) for k in range(len(KINDS))),
+        len(body), len(joined), len(groups), max(groups, default=0), min(groups, default=0), groups[0] if groups else 0, groups[-1] if groups else 0,
+        float(len(joined) > 11 and luhn(joined)), float(joined[:1] or -1), float(joined[:2] in ("34", "37")), len(set(joined)), float(body[:1] == "+"), float(body[:2] == "00" or body[:1] == "0"),
+        body.count("."), body.count("-"), body.count(" "), body.count("("), body.count("/"), body.count(":"), len(separators), float(year), float(max(octets, default=0)), float(bool(_MARKED_AT.search(body))), float(" dot " in low or "dot)" in low or "dot]" in low),
+        float(bool(parts) and parts[-1].lower() in _ENDINGS), float(bool(parts) and len(parts[-1])), float("::" in body), len(_HEX_LETTER.findall(body)) / max(1, len(body)), len(set(groups)),
+        *before, *after[len(KINDS) :], after[at],
+        body.count("(") - body.count(")"), len(set(gaps)), max(map(len, gaps), default=0), float(bool(_DATE.search(body))), float(len(set(gaps)) < 2 and groups in ([4] * 4, [4, 6, 5], [len(joined)])),
     ]
 
 
@@ -154,7 +221,7 @@ def _compose(rng: random.Random) -> tuple[str, str, int, int, int]:
     number = lambda n: "".join(str(rng.randint(0, 9)) for _ in range(n))
 
     def card(n: int, right: bool) -> str:
-        head = rng.choice("3456") + number(n - 2)
+        head = rng.choice("3456" if rng.random() < 0.7 else "123456789") + number(n - 2)
         last = next(str(d) for d in range(10) if luhn(head + str(d)))
         return head + (last if right else str((int(last) + rng.randint(1, 9)) % 10))
 
@@ -183,6 +250,40 @@ def _compose(rng: random.Random) -> tuple[str, str, int, int, int]:
     return f"{left}{body} {' '.join(word() for _ in range(rng.randint(0, 6)))}", kind, len(left), len(left) + len(body), int(good)
 
 
+def _case(rng: random.Random) -> tuple[str, dict[tuple[str, int, int], int]]:
+    """A text and its candidates, with 1 for personal data: an example, often two numbers side by side or a row of numbers, and every other span proposed in it."""
+    text, kind, start, end, good = _compose(rng)
+    known = {(kind, start, end): good}
+    draw = rng.random()
+    if kind in ("card", "phone") and draw < 0.5:
+        gap, form = rng.choice((" ", " ", " ", "  ", " / ", " - ", " – ")), rng.choice((" ", "-", "", None))
+        alike = draw < 0.25 and good
+        for _ in range(rng.choice((1, 1, 2, 4))):
+            while True:
+                other = _compose(rng)
+                body = other[0][other[2] : other[3]]
+                if other[1] in ("card", "phone") and (not alike or other[1] == kind and other[4]):
+                    break
+            digits = re.sub("[^0-9]", "", body)
+            if alike and form is not None and other[1] == "card" and len(digits) == 16:
+                body = form.join(digits[i : i + 4] for i in range(0, 16, 4))
+            known[other[1], end + len(gap), end + len(gap) + len(body)] = other[4]
+            text, end = text[:end] + gap + body + text[end:], end + len(gap) + len(body)
+    elif kind == "phone" and not good and draw < 0.7:
+        gap, size = rng.choice((" ", " ", "  ", " - ", "/")), rng.choice((0, 0, 1, 2, 3, 4, 5, 8))
+        row = gap.join(str(rng.randint(0, 10 ** (size or rng.randint(1, 8)) - 1)) for _ in range(rng.randint(3, 14)))
+        text, known = text[:start] + row + text[end:], {}
+    elif kind == "phone" and not good and draw < 0.9:
+        for _ in range(12):  # dates and the like whose digits together pass for a card's
+            row = rng.choice((" ", "  ", " - ", "-", "/")).join(text[start:end] if k == 0 else f"{rng.randint(1900, 2030)}-{rng.randint(1, 12):02}-{rng.randint(1, 28):02}" for k in range(rng.randint(2, 3)))
+            if any(c[0] == "card" and luhn(re.sub("[^0-9]", "", row[c[1] : c[2]])) for c in candidates(row)):
+                break
+        text, known = text[:start] + row + text[end:], {}
+    for c in candidates(text):
+        known.setdefault(c, 0)
+    return text, known
+
+
 @dataclass
 class Selector:
     forest: Forest
@@ -190,23 +291,27 @@ class Selector:
 
     def added(self, text: str, base: dict[str, list[Span]]) -> list[tuple[str, int, int]]:
         taken = sorted(s for spans in base.values() for s in spans)
-        free = [c for c in dict.fromkeys(candidates(text)) if not _touches(taken, c[1], c[2])]
-        if not free:
-            return []
-        p = self.forest.probability(np.array([features(text, *c) for c in free]))
-        out: list[tuple[str, int, int]] = []
-        used: list[Span] = []
-        for score, c in sorted(zip(p.tolist(), free, strict=True), key=lambda x: (-x[0], x[1][1], -x[1][2], x[1][0])):
-            if score >= self.thresholds[c[0]] and not _touches(used, c[1], c[2]):
-                out.append(c)
-                used = sorted([*used, c[1:]])
-        return out
+        free = (c for c in dict.fromkeys(candidates(text)) if not _touches(taken, c[1], c[2]))
+        scored: list[tuple[float, tuple[str, int, int]]] = []
+        while some := list(itertools.islice(free, SCORED)):
+            p = self.forest.probability(np.array([features(text, *c) for c in some]))
+            scored += [(score, c) for score, c in zip(p.tolist(), some, strict=True) if score >= self.thresholds[c[0]]]
+        return [c for _, c in _best(scored)]
+
+
+def _best(scored: list[tuple[float, tuple[str, int, int]]]) -> list[tuple[float, tuple[str, int, int]]]:
+    """Of candidates that overlap the one with the better score, of equal ones the first and longest."""
+    out: list[tuple[float, tuple[str, int, int]]] = []
+    used: list[Span] = []
+    for score, c in sorted(scored, key=lambda x: (-x[0], x[1][1], -x[1][2], x[1][0])):
+        if not _touches(used, c[1], c[2]):
+            out.append((score, c))
+            insort(used, c[1:])
+    return out
 
 
 def _touches(spans: list[Span], start: int, end: int) -> bool:
     """Whether a span of a sorted list without overlaps overlaps [start, end); spans of different kinds may nest."""
-    from bisect import bisect_left
-
     at = bisect_left(spans, (end, 0))
     return any(e > start for _, e in spans[max(0, at - 2 * len(KINDS)) : at])
 
@@ -214,16 +319,23 @@ def _touches(spans: list[Span], start: int, end: int) -> bool:
 @functools.cache
 def selector(examples: int = EXAMPLES, seed: int = 11) -> Selector:
     rng = random.Random(seed)
-    rows = [_compose(rng) for _ in range(examples)]
-    x = np.array([features(t, k, s, e) for t, k, s, e, _ in rows])
-    y = np.array([r[4] for r in rows], float)
-    fit = np.arange(examples) % 3 > 0
+    cases = [_case(rng) for _ in range(examples)]
+    bounds = np.cumsum([0, *(len(known) for _, known in cases)])
+    rows = [(at, text, *c, good) for at, (text, known) in enumerate(cases) for c, good in known.items()]
+    x = np.array([features(*r[1:5]) for r in rows])
+    y = np.array([r[5] for r in rows], float)
+    fit = np.array([r[0] for r in rows]) % 3 > 0
     forest = train(x[fit], y[fit], trees=60, depth=5)
-    p = forest.probability(x[~fit])
+    p = forest.probability(x)
+    won: dict[str, list[tuple[float, int]]] = {kind: [] for kind in KINDS}
+    for at, (_, known) in enumerate(cases):
+        if at % 3 == 0:
+            first = bounds[at]
+            for score, c in _best(list(zip(p[first : first + len(known)].tolist(), known, strict=True))):
+                won[c[0]].append((score, known[c]))
     thresholds = {}
-    for k, kind in enumerate(KINDS):
-        own = x[~fit][:, k] == 1
-        s, good = p[own], y[~fit][own]
+    for kind in KINDS:
+        s, good = (np.array([w[k] for w in won[kind]], float) for k in range(2))
         usable = [c for c in np.unique(s) if c >= 0.5 and good[s >= c].mean() >= PRECISION]
         thresholds[kind] = float(min(usable, default=1.1))
     return Selector(forest, thresholds)

@@ -141,6 +141,23 @@ def test_pii_adds_disguised_spans_and_leaves_clean_text_alone(docs):
     assert all(not r["base"] and not r["added"] for r in pii.detect(docs).collect())
 
 
+def test_pii_finds_numbers_side_by_side():
+    model = pii.selector()
+    for text, want in (
+        ("x 4465758382889437 4465758382889437 y", "x <card> <card> y"),
+        ("a 7536784127813050 4845168114407329 b", "a <card> <card> b"),
+        ("(415) 555-1234 (212) 555-9876", "<phone> <phone>"),
+        ("call 415-555-1234 212-555-9876 now", "call <phone> <phone> now"),
+        ("on 2020-10-12 2021-10-14 we met", "on 2020-10-12 2021-10-14 we met"),
+        ("1990 1991 1992 1993 1994 1995", "1990 1991 1992 1993 1994 1995"),
+    ):
+        assert pii.redact(text, model) == want
+    long = " ".join(["4465758382889437"] * 300)
+    assert pii.redact(long, model) == " ".join(["<card>"] * 300)
+    spans = {c[1:] for c in pii.candidates("12 345 6789 12345 x")}
+    assert spans == {(0, 11), (0, 17), (3, 11), (3, 17), (7, 17)}
+
+
 def test_bpe_equals_the_library(spark, docs):
     from tokenizers import Tokenizer
 
