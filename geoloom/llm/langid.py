@@ -4,8 +4,9 @@ Subwords are byte trigrams and four-grams of words (letters lower-cased for A-Z,
 blank), hashed into buckets. A text is the mean of its subwords' embeddings; a linear softmax scores languages.
 Embeddings and softmax are trained together by stochastic gradient descent in numpy, on a bounded sample. As
 mean and softmax input are linear, prediction multiplies embeddings and softmax once into a table of logits per
-bucket. A temperature fitted on texts kept out of training calibrates the scores, and the rejection threshold is
-a low quantile of the scores of right predictions.
+bucket. A temperature fitted on texts kept out of training calibrates the scores. The rejection threshold is a low
+quantile of the scores of right predictions on those texts and excerpts of them, by the number of different
+subwords: a few tell little, so a text that is short or repeats itself needs a lower score than a long one.
 
 Defined cases: a null text, an empty one, or one without a letter is `und` with score 0. Without any labelled
 row (or an empty table) there is no model and every text is `und`. A null id counts as the empty text in folds.
@@ -32,8 +33,12 @@ SAMPLE_ROWS, SAMPLE_BYTES = 4000, 1 << 14
 EPOCHS, MINIBATCH, RATE = 4, 16, 0.5
 #: Share of right predictions on texts kept out of training that the rejection may cost.
 REJECTED_RIGHT = 0.002
-#: The threshold is at most so many times the score of a guess among the languages, so that short clean texts stay.
-REJECTION_ODDS = 1.25
+#: Excerpts per length (4 bytes, doubled up to the text's) of a text, and bytes of them where that is less.
+EXCERPTS, EXCERPT_BYTES = 8, 512
+#: Texts' classes for the threshold are powers of two of different subwords; one with fewer right predictions takes that of shorter texts.
+CLASSES, LEAST_RIGHT = BITS + 1, 30
+#: Deviations of a normal variable below which the share REJECTED_RIGHT lies; it stands in where the quantile is less sure.
+TAIL = 2.88
 
 _FOLD = np.full(256, 32, np.uint8)
 for _c in range(256):
@@ -78,9 +83,10 @@ class LanguageModel:
     logits: np.ndarray  # buckets + 1 by languages; the last row is 0
     bias: np.ndarray
     temperature: float
-    threshold: float
+    thresholds: np.ndarray  # least log odds of a score, by class of the number of different subwords
 
-    def raw_logits(self, raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    def raw_logits(self, raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Logits by text and language, and the number of different subwords by text."""
         buckets = subwords(raw, starts)
         total = np.zeros((len(starts) - 1, len(self.languages)))
         grams = np.zeros(len(starts) - 1)
@@ -90,13 +96,68 @@ class LanguageModel:
             for k in range(2):
                 total[full] += np.add.reduceat(self.logits[buckets[:, k]], at, axis=0)
                 grams[full] += np.add.reduceat((buckets[:, k] < 1 << BITS).astype(np.float64), at)
-        return total / np.maximum(grams, 1)[:, None] + self.bias
+        return total / np.maximum(grams, 1)[:, None] + self.bias, _different(buckets, starts)
 
-    def scores(self, raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        z = self.raw_logits(raw, starts) / self.temperature
-        p = np.exp(z - z.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        return p.argmax(1), p.max(1)
+    def scores(self, raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Language, score, log odds of the score and class of each text; scores near 1 are told apart by their odds only."""
+        z, grams = self.raw_logits(raw, starts)
+        z /= self.temperature
+        which, top = z.argmax(1), z.max(1, keepdims=True)
+        p = np.exp(z - top)
+        score = 1 / p.sum(1)
+        rest = z.copy()
+        rest[np.arange(len(z)), which] = -np.inf
+        next_best = rest.max(1, keepdims=True) if z.shape[1] > 1 else top
+        with np.errstate(divide="ignore"):
+            odds = (top - next_best)[:, 0] - np.log(np.exp(rest - next_best).sum(1))
+        return which, score, odds, np.minimum(np.log2(np.maximum(grams, 1)).astype(np.int64), CLASSES - 1)
+
+
+def _different(buckets: np.ndarray, starts: np.ndarray, step: int = 64) -> np.ndarray:
+    """How many different subwords each text has."""
+    out = np.zeros(len(starts) - 1, np.int64)
+    for first in range(0, len(out), step):
+        edges = starts[first : first + step + 1]
+        seen = np.zeros((len(edges) - 1, (1 << BITS) + 1), bool)
+        of = np.repeat(np.arange(len(edges) - 1) * seen.shape[1], np.diff(edges))
+        for k in range(2):
+            seen.reshape(-1)[of + buckets[edges[0] : edges[-1], k]] = True
+        out[first : first + step] = np.count_nonzero(seen[:, :-1], axis=1)
+    return out
+
+
+def _excerpts(raw: bytes, rng: np.random.Generator) -> list[bytes]:
+    """The text, and pieces of it of 4 bytes, 8, 16 and so on."""
+    out, size = [raw], 4
+    while size < len(raw):
+        many = max(1, min(EXCERPTS, EXCERPT_BYTES // size))
+        out += [raw[at : at + size] for at in rng.integers(0, len(raw) - size + 1, many).tolist()]
+        size *= 2
+    return out
+
+
+def _thresholds(model: LanguageModel, raws: list[bytes], target: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """By class the log odds that all but REJECTED_RIGHT of the right predictions reach; they never fall with length."""
+    found, klass = [], []
+    for raw, lang in zip(raws, target.tolist(), strict=True):
+        cut = _excerpts(raw, rng)
+        which, _, own, of = model.scores(np.frombuffer(b"".join(cut), np.uint8), np.cumsum([0, *map(len, cut)]))
+        right = which == lang
+        found.append(own[right])
+        klass.append(of[right])
+    odds, classes = np.concatenate(found), np.concatenate(klass)
+    out, last = np.full(CLASSES, -np.inf), -np.inf
+    if len(model.languages) < 2:
+        return out
+    for k in range(CLASSES):
+        own = odds[classes == k]
+        if len(own) >= LEAST_RIGHT:
+            low = np.quantile(own, REJECTED_RIGHT)
+            if len(own) * REJECTED_RIGHT < 1:
+                low = min(low, own.mean() - TAIL * own.std() * (1 + 1 / np.sqrt(len(own))))
+            last = float(low)
+        out[k] = last
+    return np.minimum.accumulate(out[::-1])[::-1]
 
 
 def train(rows: list[tuple[str, str]], seed: int = 7) -> LanguageModel | None:
@@ -134,22 +195,19 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> LanguageModel | None:
         b -= rate * p.mean(0)
         np.add.at(e, ids, -rate * back[of] * share[:, None] * np.float32(WIDTH))
     table = np.zeros(((1 << BITS) + 1, len(languages)), np.float32)
-    table[:-1] = e @ w
-    model = LanguageModel(languages, table, b.astype(np.float64), 1.0, 0.0)
+    learned = np.unique(np.concatenate([counts[i][0] for i in order]))
+    table[learned] = e[learned] @ w  # a subword that no training text has says nothing
+    model = LanguageModel(languages, table, b.astype(np.float64), 1.0, np.full(CLASSES, -np.inf))
     check = kept_out if len(kept_out) else order
     raws = [rows[i][0].encode() for i in check]
-    z = model.raw_logits(np.frombuffer(b"".join(raws), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raws])]).astype(np.int64))
+    z, _ = model.raw_logits(np.frombuffer(b"".join(raws), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raws])]).astype(np.int64))
 
     def loss(t: float) -> float:
         s = z / t
         return float(np.mean(np.log(np.exp(s - s.max(1, keepdims=True)).sum(1)) + s.max(1) - s[np.arange(len(s)), target[check]]))
 
     model.temperature = float(min(np.geomspace(0.05, 20, 61), key=loss))
-    s = z / model.temperature
-    p = np.exp(s - s.max(1, keepdims=True))
-    p /= p.sum(1, keepdims=True)
-    right = p.max(1)[p.argmax(1) == target[check]]
-    model.threshold = float(min(REJECTION_ODDS / len(languages), np.quantile(right, REJECTED_RIGHT))) if len(right) else 0.0
+    model.thresholds = _thresholds(model, raws, target[check], rng)
     return model
 
 
@@ -171,7 +229,7 @@ def predict(model: LanguageModel | None, column: pa.Array) -> tuple[list[str], l
     n = len(starts) - 1
     if model is None or not n:
         return [UNKNOWN] * n, [0.0] * n, [True] * n
-    which, score = model.scores(raw, starts)
+    which, score, odds, klass = model.scores(raw, starts)
     letter = np.zeros(n, bool)
     has = np.flatnonzero(starts[1:] > starts[:-1])
     if len(has):
@@ -180,7 +238,7 @@ def predict(model: LanguageModel | None, column: pa.Array) -> tuple[list[str], l
         text = column[int(i)].as_py()
         letter[i] = bool(text) and any(map(str.isalpha, text))
     score = np.where(letter, score, 0.0)
-    return [model.languages[w] if ok else UNKNOWN for w, ok in zip(which, letter, strict=True)], score.tolist(), (~letter | (score < model.threshold)).tolist()
+    return [model.languages[w] if ok else UNKNOWN for w, ok in zip(which, letter, strict=True)], score.tolist(), (~letter | (odds < model.thresholds[klass])).tolist()
 
 
 def identify(docs: DataFrame, model: LanguageModel | None, keep: list[str], text_column: str = "text") -> DataFrame:

@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from geoloom.llm import bpe, decontaminate, exact_dedup, jaccard_join, langid, pii, quality, sharding, suffix_dedup, warc
@@ -237,6 +238,21 @@ def test_languages_and_rejection(spark, docs):
     assert none is None and langid.identify(docs, none, ["doc_id"]).where("lang_pred <> 'und'").count() == 0
 
 
+def test_unlearned_languages_are_rejected_and_short_texts_stay():
+    own = random.Random(9)
+    ends = {"aa": ("ik", "um", "ado", "eli"), "bb": ("ström", "fjä", "ång", "ö"), "cc": ("qui", "zor", "xan", "pty"), "dd": ("the", "wer", "ing", "oug")}
+    word = lambda lang: "".join(own.choice(ends[lang]) for _ in range(own.randint(1, 3)))
+    text = lambda lang, n: " ".join(word(lang) for _ in range(n))
+    model = langid.train([(text(lang, own.randint(3, 150)), lang) for lang in ends for _ in range(200)])
+    odd = lambda letters, n: " ".join("".join(own.choice(letters) for _ in range(own.randint(2, 9))) for _ in range(n))
+    rejected = lambda found: langid.predict(model, pa.array(found))[2]
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцч", "ABCDEFGHabcdefgh0123456789+/"):
+        assert np.mean(rejected([odd(letters, 60) for _ in range(100)])) > 0.95
+    for n in (3, 10, 100):
+        assert np.mean(rejected([text(lang, n) for lang in ends for _ in range(100)])) < 0.03
+    assert langid.train([("only one", "aa")] * 9).thresholds.max() == -np.inf
+
+
 def test_quality_learns_and_scores_everything(spark, docs):
     rows = [(k, prose(60) + "." if k % 3 else "spam!! " * 50) for k in range(240)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
