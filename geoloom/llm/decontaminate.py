@@ -3,15 +3,16 @@
 Texts and benchmark items become templates: a number, a name (a capitalised word inside a sentence) and a unit
 after a number become typed placeholders, every other word is lower-cased. Windows of template tokens are looked up
 in a hash table of the benchmark's windows. A window that is found counts if it has enough plain words and its
-slots are consistent with those of the benchmark: along the aligned run, each value of the item stands for one
-value of the document and the reverse, as in a copy or in the same question with other parameters.
+slots are consistent with those of the benchmark: in the window, each value of the item stands for one
+value of the document and the reverse, as in a copy or in the same question with other parameters. A window whose
+tokens are all those of the item counts however few of its words are plain.
 
 The benchmark is read in blocks of bounded size, each shipped to the tasks that read the documents; all documents
 flow through all blocks without a shuffle, however large the benchmark is.
 
 Defined cases: a null or empty text or item matches nothing. An item of fewer tokens than a window is one window,
-if it has least_literals plain words; with fewer it cannot be told from chance and matches nothing. Repeated items and
-rows are treated alike, one by one. Empty tables are fine on either side. The documents' columns may have any names.
+all of it. With fewer than least_literals plain words other values cannot be told from chance, so only the same values
+match. An item's first word is looked for both as a word and as the name or unit that it is after text without an end. Repeated items and rows are treated alike, one by one. Empty tables are fine on either side. The documents' columns may have any names.
 """
 
 from __future__ import annotations
@@ -110,15 +111,20 @@ class Benchmark:
 
     def __init__(self, items: list[tuple[int, str]], window: int = WINDOW, least_literals: int = LEAST_LITERALS):
         self.known = _Codes()
-        self.places: dict[int, list[tuple[int, int, int]]] = {}  # hash: item's place, first token, size
+        self.places: dict[int, list[tuple[int, int, int, bool]]] = {}  # hash: item's place, first token, size, whether enough words are plain
         self.items: list[tuple[int, list[str], np.ndarray]] = []
         for item_id, text in items:
             codes, slots, tokens = template(text or "", self.known)
             size = min(window, len(codes))
             literal = np.concatenate([[0], np.cumsum(~slots)])
             for at, h in enumerate(window_hashes(codes, size).tolist() if size else ()):
-                if literal[at + size] - literal[at] >= least_literals:
-                    self.places.setdefault(h, []).append((len(self.items), at, size))
+                enough = bool(literal[at + size] - literal[at] >= least_literals)
+                self.places.setdefault(h, []).append((len(self.items), at, size, enough))
+            other = {_TITLE: _NAME_CODE, _UNIT: _UNIT_CODE}.get(self.known[tokens[0]][1]) if size and not slots[0] else None
+            if other is not None:
+                as_slot = np.concatenate([[other], codes[1:size]])
+                enough = bool(literal[size] - 1 >= least_literals)
+                self.places.setdefault(int(window_hashes(as_slot, size)[0]), []).append((len(self.items), 0, size, enough))
             self.items.append((item_id, tokens, slots))
         self.sizes = sorted({p[2] for v in self.places.values() for p in v})
         self.sieve = np.zeros(1 << 20, bool)
@@ -131,9 +137,14 @@ class Benchmark:
         for size in self.sizes:
             hashes = window_hashes(codes, size)
             for at in np.flatnonzero(self.sieve[(hashes >> np.uint64(44)).astype(np.int64)]).tolist() if len(hashes) else ():
-                for item, start, length in self.places.get(int(hashes[at]), ()):
+                counted = set()
+                for item, start, length, enough in self.places.get(int(hashes[at]), ()):
                     item_id, words, _ = self.items[item]
-                    if length == size and consistent(words[start : start + size], tokens[at : at + size], slots[at : at + size]):
+                    if length != size or (item, start) in counted:
+                        continue
+                    there, here = words[start : start + size], tokens[at : at + size]
+                    if [w.lower() for w in there] == [w.lower() for w in here] or enough and consistent(there, here, slots[at : at + size]):
+                        counted.add((item, start))
                         found.add(item_id)
                         n += 1
         return sorted(found), n

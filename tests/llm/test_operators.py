@@ -199,6 +199,19 @@ def test_decontaminate(spark, docs):
     assert decontaminate.mark(docs, bench.where("false"), ["doc_id"]).where("contaminated").count() == 0
 
 
+def test_decontaminate_finds_verbatim_items_of_few_plain_words():
+    sums = "12 + 34 = 46 and 5 * 7 = 35 and 81 / 9 = 9 so 18 - 4 = 14 or 3 * 3 = 9 then 2 + 2 = 4"
+    names = "the list has Anna Bert Carl Dora Emil Fritz Gerda Hans Ida Jan Karl Lena Max"
+    short, question = "Compute 12 times 7", "Which river flows through the old town of the northern duchy"
+    table = decontaminate.Benchmark([(1, sums), (2, names), (3, short), (4, question)])
+    found = lambda text: table.matches(text)[0]
+    assert found(f"some words before, {sums} and some after") == [1]
+    assert found(f"so {names} and others") == [2]
+    assert found(f"some words without an end {short} and some after") == found(f"An end. {short}.") == [3]
+    assert found(f"some words without an end {question} and some after") == found(f"An end. {question}?") == [4]
+    assert found("An end. Compute 15 times 9.") == found(sums.replace("12", "13").replace("5 *", "6 *").replace("9 so", "8 so").replace("3 * 3", "4 * 3")) == []
+
+
 def test_warc_round_trip(spark):
     pages = [(3, "u", "<p>a</p>"), (1, None, "<p>a</p>"), (2, "u v", None), (4, "u", ""), (None, "u", "<p>a</p>"), (5, "u", "é" * 2000000), (1, "u", "<p>a</p>")]
     frame = spark.createDataFrame(pages, "page_id long, url string, html string")
