@@ -31,6 +31,8 @@ BITS, WIDTH = 16, 8
 #: Bound of the training sample: rows, and bytes of a text that may be in it.
 SAMPLE_ROWS, SAMPLE_BYTES = 4000, 1 << 14
 EPOCHS, MINIBATCH, RATE = 4, 16, 0.5
+#: Steps of training that a small table gets as well; with fewer, clean texts are not told from foreign ones.
+LEAST_STEPS = 800
 #: Share of right predictions on texts kept out of training that the rejection may cost.
 REJECTED_RIGHT = 0.002
 #: Excerpts per length (4 bytes, doubled up to the text's) of a text, and bytes of them where that is less.
@@ -177,7 +179,7 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> LanguageModel | None:
     kept_out, order = order[: len(rows) // 5], order[len(rows) // 5 :]
     e = rng.normal(0, 0.3, (1 << BITS, WIDTH)).astype(np.float32)
     w, b = np.zeros((WIDTH, len(languages)), np.float32), np.zeros(len(languages), np.float32)
-    steps = max(1, EPOCHS * len(order) // MINIBATCH)
+    steps = max(LEAST_STEPS, EPOCHS * len(order) // MINIBATCH)
     for step in range(steps):
         rate = np.float32(RATE * (1 - step / steps))
         own = rng.choice(order, MINIBATCH)
