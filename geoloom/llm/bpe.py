@@ -18,9 +18,9 @@ from __future__ import annotations
 import heapq
 import json
 import mmap
-import os
 import struct
 import unicodedata
+import uuid
 from array import array
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
@@ -34,7 +34,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm.common import checkpoint, fresh_dir, pieces, small_batches, texts
+from geoloom.llm.common import checkpoint, fresh_dir, in_one_task, pieces, small_batches, texts
 
 #: Words that the lexicon holds, and the bytes of the longest.
 LEXICON_WORDS, WORD_BYTES = 65_536, 48
@@ -281,29 +281,38 @@ def count_words(docs: DataFrame, text_column: str, tokenizer_path: str) -> DataF
     return docs.select(F.col(text_column).cast("string").alias("text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def frequent_words(counts: DataFrame, size: int) -> list[str]:
-    """At most size words, those of the highest counts, cut where the logarithm of the count steps; only they reach the driver."""
+def frequent_words(counts: DataFrame, size: int) -> DataFrame:
+    """At most size words, those of the highest counts, cut where the logarithm of the count steps."""
     counts = checkpoint(counts.withColumn("level", F.floor(F.log2("n") * 16).cast("int")))
-    most, cut = 0, None
+    most, cut = 0, 1 << 30
     for r in sorted(counts.groupBy("level").count().collect(), reverse=True):  # some hundred levels at most
         most += r["count"]
         if most > size:
             break
         cut = r["level"]
-    return [] if cut is None else [r["word"] for r in counts.where(F.col("level") >= cut).select("word").collect()]
+    return counts.where(F.col("level") >= cut).select("word")
 
 
 def build_lexicon(docs: DataFrame, tokenizer_path: str, text_column: str = "text", size: int = LEXICON_WORDS) -> str:
-    """Compiles the most frequent words and gives the name under which Spark ships the file to executors."""
+    """Compiles the most frequent words in a task and gives the name under which Spark ships the file to executors."""
     spark = docs.sparkSession
-    tokenizer = Tokenizer(tokenizer_path)
     top = frequent_words(count_words(docs, text_column, tokenizer_path), size)
     uri = fresh_dir(spark, "lexicon") + ".bin"
-    system, path = pafs.FileSystem.from_uri(uri)
-    with system.open_output_stream(path) as f:
-        f.write(compile_lexicon({w: tokenizer.merge(w) for w in top}))
+
+    def make(batches: list[pa.RecordBatch]) -> bytes:
+        tokenizer = Tokenizer(tokenizer_path)
+        entries = {w: tuple(tokenizer.merge(w)) for b in batches for w in b.column(0).to_pylist()}
+        system, path = pafs.FileSystem.from_uri(uri)
+        own = f"{path}.{uuid.uuid4().hex}"  # another attempt of the task may write as well
+        with system.open_output_stream(own) as f:
+            f.write(compile_lexicon(entries))
+        system.move(own, path)
+        return b"made"
+
+    if not in_one_task(top, make):  # no task runs for an empty table
+        make([])
     spark.sparkContext.addFile(uri)
-    return os.path.basename(path)
+    return uri.rpartition("/")[2]
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}

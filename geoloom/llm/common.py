@@ -5,7 +5,7 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -106,12 +106,25 @@ def sieve_place(value: Column) -> Column:
 def sieve(df: DataFrame, column: str) -> np.ndarray:
     """Which places of a table of fixed size the values of a column fall on. It spares work ahead of a join and decides nothing."""
     bits = df.select(sieve_place(F.col(column)).alias("p")).selectExpr("shiftright(p, 6) AS w", "shiftleft(1L, cast(p % 64 AS int)) AS b").groupBy("w").agg(F.bit_or("b").alias("b"))
+    found = bits.toArrow()  # at most 2**18 rows, 4 MB as columns
     table = np.zeros(1 << (SIEVE_BITS - 6), np.int64)
-    for r in bits.collect():  # at most 2**18 rows
-        table[r["w"]] = r["b"]
+    table[found.column("w").to_numpy()] = found.column("b").to_numpy()
     return np.unpackbits(table.view(np.uint8), bitorder="little").view(bool)
 
 
+def in_one_task(rows: DataFrame, make: Callable[[list[pa.RecordBatch]], bytes], part_bytes: int = 1 << 20) -> bytes:
+    """What make builds of all rows, in an executor's task. For bounded rows and results only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = make(list(batches))
+        cut = range(0, len(made), part_bytes)
+        yield pa.RecordBatch.from_arrays([pa.array(list(range(len(cut))), pa.int64()), pa.array([made[at : at + part_bytes] for at in cut], pa.binary())], names=["k", "part"])
+        give_back()
+
+    parts = rows.repartition(1).mapInArrow(run, "k long, part binary").collect()
+    return b"".join(r["part"] for r in sorted(parts, key=lambda r: r["k"]))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words that spreads every input bit (xor-shift-multiply finaliser)."""
     x = x.astype(np.uint64, copy=True)

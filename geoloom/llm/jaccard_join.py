@@ -375,7 +375,7 @@ def frequent_shingles(docs: DataFrame, words: int = WORDS, sample_rows: int = SA
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*shingle_sets(batch.column(0), words), np.zeros(0, np.uint64)]).view(np.int64))], names=["s"])
 
     often = chosen.mapInArrow(run, "s long").groupBy("s").count().where(F.col("count") >= FREQUENT).select("s")
-    return np.sort(np.array([r[0] for r in often.collect()], np.int64).view(np.uint64))
+    return np.sort(often.toArrow().column("s").to_numpy().astype(np.int64).view(np.uint64))
 
 
 def _split(blocks: DataFrame, lengths: DataFrame, block_rows: int) -> DataFrame:

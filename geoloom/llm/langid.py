@@ -15,6 +15,7 @@ Very long texts are scored whole, in bounded batches. Ties between languages go
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geoloom.llm.common import pieces, small_batches, texts, utf8
+from geoloom.llm.common import in_one_task, pieces, small_batches, utf8
 
 UNKNOWN = "und"
 BITS, WIDTH = 16, 8
@@ -213,16 +214,22 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> LanguageModel | None:
     return model
 
 
-def fit_languages(docs: DataFrame, where: Column, text_column: str = "text", lang_column: str = "lang", sample_rows: int = SAMPLE_ROWS) -> LanguageModel | None:
-    """Trains on at most about sample_rows rows that fit where, have a language and at most SAMPLE_BYTES bytes."""
-    rows = docs.select(F.col(text_column).alias("t"), F.col(lang_column).alias("l"), where.alias("ok")).where(F.col("ok") & F.col("l").isNotNull() & F.col("t").isNotNull())
-    usable = F.octet_length("t").between(1, SAMPLE_BYTES)
-    n = rows.agg(F.count(F.when(usable, 1))).first()[0]
-    if not n:
-        return train([])
-    share = min(1.0, sample_rows / n)
-    sample = rows.where(usable & (F.pmod(F.xxhash64("t"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)).select("t", "l").limit(2 * sample_rows).collect()
-    return train(sorted((r[0], r[1]) for r in sample))
+def fit_languages(docs: DataFrame, where: Column, text_column: str = "text", lang_column: str = "lang", sample_rows: int = SAMPLE_ROWS, id_column: str = "doc_id") -> LanguageModel | None:
+    """Trains on at most 2 * sample_rows rows that fit where, have a language and at most SAMPLE_BYTES bytes.
+
+    Rows are drawn by a hash of id and text, about sample_rows of them; where repeated rows make them more, the least hashes stay.
+    An executor's task trains, so that the driver gets no text.
+    """
+    rows = docs.select(F.col(text_column).cast("string").alias("t"), F.col(lang_column).cast("string").alias("l"), F.xxhash64(id_column, text_column).alias("h"), where.alias("ok")).where(F.col("ok") & F.col("l").isNotNull() & F.col("t").isNotNull())
+    rows = rows.where(F.octet_length("t").between(1, SAMPLE_BYTES))
+    n = rows.agg(F.count("t")).first()[0]
+    drawn = rows.where(F.pmod("h", F.lit(1 << 20)) < int(min(1.0, sample_rows / max(1, n)) * (1 << 20)) + 1)
+
+    def make(batches: list[pa.RecordBatch]) -> bytes:
+        found = sorted((t, lang) for b in batches for t, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+        return pickle.dumps(train(found))
+
+    return pickle.loads(in_one_task(drawn.orderBy("h", "t", "l").limit(2 * sample_rows).select("t", "l"), make)) if n else None
 
 
 def predict(model: LanguageModel | None, column: pa.Array) -> tuple[list[str], list[float], list[bool]]:
