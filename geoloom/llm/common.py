@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -13,8 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of an Arrow batch: a batch of texts of 128 KB each stays under 64 MB.
-BATCH_ROWS = 512
+#: Rows and bytes of an Arrow batch; a row that is larger is a batch of its own.
+BATCH_ROWS, BATCH_BYTES = 512, 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,12 +25,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def small_batches(spark: SparkSession) -> None:
     """Bound the bytes of the Arrow batches that Python workers get."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, one machine's tests get one of their own; a cluster must name it."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = f"file://{tempfile.mkdtemp(prefix='geoloom-shared-')}"
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(named)
@@ -103,15 +107,20 @@ def sieve_place(value: Column) -> Column:
     return F.pmod(F.xxhash64(value), F.lit(1 << SIEVE_BITS))
 
 
-def sieve(df: DataFrame, column: str) -> np.ndarray:
-    """Which places of a table of fixed size the values of a column fall on. It spares work ahead of a join and decides nothing."""
-    bits = df.select(sieve_place(F.col(column)).alias("p")).selectExpr("shiftright(p, 6) AS w", "shiftleft(1L, cast(p % 64 AS int)) AS b").groupBy("w").agg(F.bit_or("b").alias("b"))
+def marked_places(places: DataFrame) -> np.ndarray:
+    """From (p), places below 2**SIEVE_BITS: which of them occur."""
+    bits = places.selectExpr("shiftright(p, 6) AS w", "shiftleft(1L, cast(p % 64 AS int)) AS b").groupBy("w").agg(F.bit_or("b").alias("b"))
     found = bits.toArrow()  # at most 2**18 rows, 4 MB as columns
     table = np.zeros(1 << (SIEVE_BITS - 6), np.int64)
     table[found.column("w").to_numpy()] = found.column("b").to_numpy()
     return np.unpackbits(table.view(np.uint8), bitorder="little").view(bool)
 
 
+def sieve(df: DataFrame, column: str) -> np.ndarray:
+    """Which places of a table of fixed size the values of a column fall on. It spares work ahead of a join and decides nothing."""
+    return marked_places(df.select(sieve_place(F.col(column)).alias("p")))
+
+
 def in_one_task(rows: DataFrame, make: Callable[[list[pa.RecordBatch]], bytes], part_bytes: int = 1 << 20) -> bytes:
     """What make builds of all rows, in an executor's task. For bounded rows and results only."""
 
