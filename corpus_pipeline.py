@@ -56,8 +56,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a passage of the benchmark, or the same with other parameters, go."""
-    marked = decontaminate.mark(_packed(docs), table(spark, sf_dir, "benchmark"), ["_row"])
-    return _unpacked(marked, ~F.col("contaminated"), docs.columns)
+    return _rows(docs, decontaminate.contaminated_rows(docs, table(spark, sf_dir, "benchmark")))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
