@@ -104,7 +104,8 @@ ORACLE_SQL: dict[str, str] = {
         o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_have
               FROM (SELECT * FROM s SEMI JOIN r USING (shingle)) a JOIN (SELECT * FROM s SEMI JOIN r USING (shingle)) b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
         l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both_have >= 80 * (x.n + y.n - both_have)),
-        c AS (SELECT doc_id, doc_id AS reached FROM w UNION SELECT c.doc_id, l.b FROM c JOIN l ON c.reached = l.a)
-        SELECT w.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(c.reached) AS component_id
-        FROM w JOIN c ON c.doc_id = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id GROUP BY w.doc_id""",
+        c AS (SELECT doc_id, doc_id AS reached FROM w UNION SELECT c.doc_id, l.b FROM c JOIN l ON c.reached = l.a),
+        k AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+        SELECT w.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(c.reached) AS component_id, coalesce(max(k.n_links), 0) AS n_links
+        FROM w JOIN c ON c.doc_id = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN k ON k.a = w.doc_id GROUP BY w.doc_id""",
 }
