@@ -1,10 +1,12 @@
-"""A run-length index: the Burrows-Wheeler transform of short texts, its runs, and samples at the runs' ends.
+"""A run-length index: the runs of the Burrows-Wheeler transform of short texts, with samples at the runs' ends.
 
 Suffixes are sorted by prefix doubling in numpy; a suffix ends with its text, and equal suffixes stand in order of
 place. Inside a run of the transform two neighbours have the same character before them, so the neighbours of the
 preceding suffixes are neighbours too and share one character more. The length that a suffix shares with its
-neighbour above is therefore known from the sample at the run's upper end that precedes it in its text, less the
-distance; the same holds below with the lower ends. Only samples are compared, matching statistics stream from them.
+neighbour above is therefore known from the sample at the run's upper end that follows from it, less the
+distance; the same holds below with the lower ends. What is kept is a character and a length by run, and by run end the place of
+its suffix and the length that it shares across the end; texts and sorted suffixes go once the index is built. Matching
+statistics stream from the samples alone.
 """
 
 from __future__ import annotations
@@ -15,21 +17,20 @@ import numpy as np
 PACKED = 6
 
 
-class RunLengthIndex:
-    def __init__(self, texts: list[bytes]):
-        sizes = np.array([len(t) for t in texts], np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        n = int(self.starts[-1])
-        self.size = n
+class _Suffixes:
+    """The sorted suffixes of the texts, while an index is built."""
+
+    def __init__(self, texts: list[bytes], starts: np.ndarray):
+        sizes = np.diff(starts)
+        self.size = n = int(starts[-1])
         self.text = np.frombuffer(b"".join(texts), np.uint8)
-        self.left = np.repeat(self.starts[1:], sizes) - np.arange(n)  # characters up to the text's end
+        self.left = np.repeat(starts[1:], sizes) - np.arange(n)  # characters up to the text's end
         self.code = np.zeros(n + PACKED, np.int64)
         symbols = np.zeros(n + PACKED, np.int64)
         symbols[:n] = self.text.astype(np.int64) + 1
         for k in range(PACKED):
             self.code[:n] = self.code[:n] << 9 | np.where(self.left > k, symbols[k : k + n], 0)
         self.order = self._sort(int(sizes.max(initial=0)))
-        self._runs()
 
     def _sort(self, longest: int) -> np.ndarray:
         n, depth, key = self.size, PACKED, self.code[: self.size]
@@ -49,16 +50,13 @@ class RunLengthIndex:
             key = rank * (n + 1) + after
             depth *= 2
 
-    def _runs(self) -> None:
-        n, order = self.size, self.order
-        first = np.zeros(n + 1, bool)
-        first[self.starts] = True
-        before = np.where(first[order], -1 - order, self.text[order - 1].astype(np.int64)) if n else order  # each text's begin is a run of its own
-        self.tops = np.concatenate([[True], before[1:] != before[:-1]]) if n else np.zeros(0, bool)
-        self.bottoms = np.concatenate([self.tops[1:], [True]]) if n else self.tops
-        self.run_count = int(self.tops.sum())
+    def transform(self, starts: np.ndarray) -> np.ndarray:
+        """The character before each suffix, in order; each text's begin has a mark of its own."""
+        first = np.zeros(self.size + 1, bool)
+        first[starts] = True
+        return np.where(first[self.order], -1 - self.order, self.text[self.order - 1].astype(np.int64)) if self.size else self.order
 
-    def _shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    def shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Characters that the suffixes at a and b share from their begin."""
         length = np.zeros(len(a), np.int64)
         active = np.arange(len(a))
@@ -74,20 +72,41 @@ class RunLengthIndex:
             active = active[inside & (same == PACKED)]
         return np.minimum(length, np.minimum(self.left[a], self.left[b])) if len(a) else length
 
-    def _stream(self, sampled: np.ndarray, step: int) -> np.ndarray:
-        """By place in the texts, the length shared with the neighbour above (step -1) or below (1)."""
-        at = np.flatnonzero(sampled)
-        other = at + step
-        there = (other >= 0) & (other < self.size)
-        values = np.zeros(len(at), np.int64)
-        values[there] = self._shared(self.order[at[there]], self.order[other[there]])
-        reach = np.zeros(self.size, np.int64)  # at a sample, where its match ends, plus 1
-        reach[self.order[at]] = self.order[at] + values + 1
-        last = np.zeros(self.size, np.int64)
-        last[self.order[at]] = self.order[at]
-        last = np.maximum.accumulate(last) if self.size else last
-        return reach[last] - 1 - np.arange(self.size)
+
+class RunLengthIndex:
+    def __init__(self, texts: list[bytes]):
+        self.starts = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+        self.size = int(self.starts[-1])
+        built = _Suffixes(texts, self.starts)
+        before = built.transform(self.starts)
+        edge = np.flatnonzero(np.concatenate([[True], before[1:] != before[:-1]])) if self.size else np.zeros(0, np.int64)
+        self.heads, self.lengths = before[edge], np.diff(np.concatenate([edge, [self.size]])) if self.size else edge
+        self.above = self._samples(built, edge, -1)
+        self.below = self._samples(built, edge + self.lengths - 1, 1)
+
+    @staticmethod
+    def _samples(built: _Suffixes, at: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of run ends, in order of place: the place of the suffix and where what it shares with the next run ends."""
+        places, other = built.order[at], at + step
+        there = (other >= 0) & (other < built.size)
+        shared = np.zeros(len(at), np.int64)
+        shared[there] = built.shared(places[there], built.order[other[there]])
+        by_place = np.argsort(places)
+        return places[by_place], (places + shared)[by_place]
+
+    def _stretches(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """By sample the places that follow from it (first, past the last) and where their matches end."""
+        return [(places, np.concatenate([places[1:], [self.size]]) if len(places) else places, ends) for places, ends in (self.above, self.below)]
 
     def matching_statistics(self) -> np.ndarray:
         """For each place, the longest match that begins there and also begins elsewhere."""
-        return np.maximum(self._stream(self.tops, -1), self._stream(self.bottoms, 1))
+        out = np.zeros(self.size, np.int64)
+        for first, past, ends in self._stretches():
+            out = np.maximum(out, np.repeat(ends, past - first) - np.arange(self.size))
+        return out
+
+    def long_matches(self, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """Stretches of places (first, last), none across two texts, at which a match of the least length or more begins."""
+        found = [(first, np.minimum(past - 1, ends - least)) for first, past, ends in self._stretches()]
+        first, last = (np.concatenate([f[k] for f in found]) for k in range(2))
+        return first[last >= first], last[last >= first]

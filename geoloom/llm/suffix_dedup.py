@@ -4,12 +4,13 @@ Every window of MATCH bytes has an anchor, the least hash among its grams, leftm
 anchors at equal offsets. Consecutive windows of one anchor form a piece, so pieces part the windows of a text.
 
 1. Grams that are anchors of one piece only cannot belong to a repeated window. The other pieces are kept.
-2. A piece that occurs as a whole more than once is repeated throughout. Of such pieces one is kept to match others.
-3. Different pieces of one anchor meet in a task, which builds a run-length index over them (see run_length_index),
-   streams matching statistics and marks matches of MATCH bytes or more.
-4. An anchor with more than HOT_PIECES different pieces is not gathered. Its windows are taken in lots of LOT by their
-   offset from the anchor; lots whose common bytes are unique go, lots that are equal as a whole are repeated, and the
-   windows of the others are counted by their hash. This is exact as well, and no task holds such a group.
+2. A piece that occurs as a whole more than once, by 128 bits of two unlike hashes, is repeated throughout. Of such
+   pieces one is kept to match others.
+3. Different pieces of one anchor meet in a task, which builds a run-length index over them (see run_length_index):
+   matching statistics stream from its samples, and stretches with matches of MATCH bytes or more are marked.
+4. An anchor with more than HOT_PIECES different pieces is not gathered, as no bound holds for them. Its windows are taken in
+   lots of LOT by their offset from the anchor; lots whose common bytes are unique go, lots that are equal as a whole are
+   repeated, and the windows of the others are counted by both hashes.
 
 Texts that a sieve of fixed size shows to have no piece in question, or no mark, are not shuffled.
 
@@ -34,31 +35,33 @@ from geoloom.llm.run_length_index import RunLengthIndex
 
 MATCH, GRAM = 200, 48
 HOT_PIECES, LOT = 400, 16
+#: Tasks among which the different pieces of one anchor are dealt where they are only counted.
+SALTS = 8
 #: Bytes of text that one index holds, and windows of a text that are worked through at once.
 INDEX_BYTES, PART = 2 << 20, 1 << 22
 PLACE_BITS = 24
 
-_P = np.uint64(0x9DDFEA08EB382D69)
-_INVERSE = np.uint64(pow(int(_P), -1, 1 << 64))
-_BYTE = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-_powers: list[np.ndarray] = []
+#: Of each of two unlike hashes the base and the values of bytes.
+_BASES = (np.uint64(0x9DDFEA08EB382D69), np.uint64(0xA0761D6478BD642F))
+_BYTES = [np.random.default_rng(seed).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1) for seed in (5, 6)]
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _powers_of(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of _P and of its inverse modulo 2**64, at least n of each."""
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, 1 << 20)
-        _powers[:] = [np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size - 1, base)])) for base in (_P, _INVERSE)]
-    return _powers[0], _powers[1]
+def _powers_of(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a base and of its inverse modulo 2**64, at least n of each."""
+    if which not in _powers or len(_powers[which][0]) < n:
+        size, base = max(n, 1 << 20), _BASES[which]
+        _powers[which] = tuple(np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size - 1, b)])) for b in (base, np.uint64(pow(int(base), -1, 1 << 64))))
+    return _powers[which]
 
 
 class Hashes:
     """Hashes of any substring of some bytes, by prefix sums."""
 
-    def __init__(self, raw: np.ndarray):
-        up, self.down = _powers_of(len(raw) + 1)
+    def __init__(self, raw: np.ndarray, which: int = 0):
+        up, self.down = _powers_of(len(raw) + 1, which)
         self.sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(_BYTE[raw] * up[: len(raw)], out=self.sums[1:])
+        np.cumsum(_BYTES[which][raw] * up[: len(raw)], out=self.sums[1:])
 
     def of(self, start, end):
         h = (self.sums[end] - self.sums[start]) * self.down[start]
@@ -88,9 +91,9 @@ def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
 
 
-def cut(raw: np.ndarray, starts: np.ndarray, match: int = MATCH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """Pieces of texts: text, first window, past the last window (both by place in raw), gram hash, content hash and anchor's place."""
-    none = tuple(np.zeros(0, np.int64) for _ in range(6))
+def cut(raw: np.ndarray, starts: np.ndarray, match: int = MATCH, gram: int = GRAM, brief: bool = False) -> tuple[np.ndarray, ...]:
+    """Pieces of texts: text, first window, past the last window (both by place in raw), gram hash and two hashes of the content, or one if brief."""
+    none = tuple(np.zeros(0, np.uint64 if k > 2 else np.int64) for k in range(5 if brief else 6))
     if len(raw) < match:
         return none
     hashes = Hashes(raw)
@@ -111,7 +114,8 @@ def cut(raw: np.ndarray, starts: np.ndarray, match: int = MATCH, gram: int = GRA
     first, last = windows[new], windows[np.concatenate([new[1:] - 1, [len(windows) - 1]])] + 1
     text = np.searchsorted(starts, first, "right") - 1
     place = anchor[new]
-    return text, first, last, grams[place], hashes.of(first, last - 1 + match), place
+    contents = [hashes, *([] if brief else [Hashes(raw, 1)])]
+    return text, first, last, grams[place], *(c.of(first, last - 1 + match) for c in contents)
 
 
 def _parts(batches: Iterator[pa.RecordBatch], text_column: int, match: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -133,11 +137,11 @@ def _anchors(match: int, gram: int, brief: bool) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw, starts, rows, offset in _parts(batches, 1, match):
-            text, first, last, h, content, _ = cut(raw, starts, match, gram)
+            text, first, last, h, content, *rest = cut(raw, starts, match, gram, brief)
             # in a periodic text the same piece follows itself many times: one row tells how often
             new = np.flatnonzero(np.concatenate([[True], (content[1:] != content[:-1]) | (h[1:] != h[:-1]) | (text[1:] != text[:-1]) | (first[1:] != last[:-1])]))[: len(text)]
             times = np.diff(np.concatenate([new, [len(text)]]))
-            text, first, last, h, content = (v[new] for v in (text, first, last, h, content))
+            text, first, last, h, content, *rest = (v[new] for v in (text, first, last, h, content, *rest))
             if brief:
                 h, which = np.unique(h, return_inverse=True)
                 n = np.bincount(which, times, len(h)).astype(np.int64)
@@ -145,8 +149,8 @@ def _anchors(match: int, gram: int, brief: bool) -> Callable:
                 continue
             own = batch.column(0).to_numpy()[rows[text]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(own), pa.array((first - starts[text] + offset[text]).astype(np.int32)), pa.array((last - first).astype(np.int32)), pa.array(times.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(content.view(np.int64))],
-                names=["row", "at", "windows", "times", "h", "content"],
+                [pa.array(own), pa.array((first - starts[text] + offset[text]).astype(np.int32)), pa.array((last - first).astype(np.int32)), pa.array(times.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(content.view(np.int64)), pa.array(rest[0].view(np.int64))],
+                names=["row", "at", "windows", "times", "h", "content", "content2"],
             )
 
     return run
@@ -164,21 +168,21 @@ def _slices(match: int, gram: int) -> Callable:
                     at, many = w["at"], w["windows"]
                     body = raw[at : at + many + match - 1]
                     if not w["hot"]:
-                        out.append((w["h"], row, at, w["single"], body, None, None))
+                        out.append((w["h"], row, at, w["single"], body, None, None, None))
                         continue
                     piece = np.frombuffer(body, np.uint8)
                     hashes = Hashes(piece)
                     grams = hashes.grams(gram)[: match - gram + many].view(np.int64)
                     place = int(np.flatnonzero(grams == w["h"])[0])
                     offset = place - np.arange(many)  # of the anchor in each window
-                    windows = hashes.of(np.arange(many), np.arange(many) + match).view(np.int64)
+                    windows, windows2 = (x.of(np.arange(many), np.arange(many) + match).view(np.int64) for x in (hashes, Hashes(piece, 1)))
                     for lot in np.unique(offset // LOT).tolist():
                         own = np.flatnonzero(offset // LOT == lot)
                         # all windows of a lot, whether the piece has them or not, share the bytes from the last begin to the first end; they lie in the piece
                         core = hashes.of(np.array([place - lot * LOT]), np.array([place - (lot + 1) * LOT + 1 + match]))
-                        out.append((int(core.view(np.int64)[0]), row, at + int(own[0]), w["single"], None, lot, windows[own].tolist()))
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.int32(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], kind) for j, kind in enumerate(kinds)], names=["h", "row", "at", "single", "body", "lot", "hashes"])
+                        out.append((int(core.view(np.int64)[0]), row, at + int(own[0]), w["single"], None, lot, windows[own].tolist(), windows2[own].tolist()))
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], kind) for j, kind in enumerate(kinds)], names=["h", "row", "at", "single", "body", "lot", "hashes", "hashes2"])
 
     return run
 
@@ -188,18 +192,10 @@ def _index(match: int) -> Callable:
 
     def marks(held: list[tuple]) -> list[tuple[int, int, int]]:
         index = RunLengthIndex([r[4] for r in held])
-        out = []
-        long = np.flatnonzero(index.matching_statistics() >= match)
-        if not len(long):
-            return out
-        own = np.searchsorted(index.starts, long, "right") - 1
-        new = np.flatnonzero(np.concatenate([[True], (long[1:] > long[:-1] + match) | (own[1:] != own[:-1])]))
-        for a, b in zip(new.tolist(), [*(new[1:] - 1).tolist(), len(long) - 1], strict=True):
-            _, row, at, single, _ = held[own[a]]
-            if single:
-                shift = at - int(index.starts[own[a]])
-                out.append((row, int(long[a]) + shift, int(long[b]) + shift + match))
-        return out
+        first, last = index.long_matches(match)
+        own = np.searchsorted(index.starts, first, "right") - 1
+        shift = np.array([r[2] for r in held], np.int64)[own] - index.starts[own]
+        return [(held[k][1], a, b + match) for k, a, b in zip(own.tolist(), (first + shift).tolist(), (last + shift).tolist(), strict=True) if held[k][3]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def table(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
@@ -259,12 +255,14 @@ def suffix_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     narrow = rows.select("row", "text")
     often = narrow.mapInArrow(_anchors(match, gram, True), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
-    every = narrow.mapInArrow(_anchors(match, gram, False), "row long, at int, windows int, times int, h long, content long")
+    every = narrow.mapInArrow(_anchors(match, gram, False), "row long, at int, windows int, times int, h long, content long, content2 long")
     found = checkpoint(every.join(often, "h"))
 
-    same = found.groupBy("h", "content").agg(F.sum("times").alias("copies"), F.min(F.struct("row", "at")).alias("one"))
-    different = same.groupBy("h").agg(F.count("*").alias("different"))
-    told = found.join(same.join(different, "h"), ["h", "content"])
+    piece = ["h", "content", "content2"]
+    same = found.groupBy(*piece).agg(F.sum("times").alias("copies"), F.min(F.struct("row", "at")).alias("one"))
+    several = same.groupBy("h").agg(F.count("*").alias("different")).where("different > 1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    counted_pieces = same.withColumn("salt", F.pmod("content", F.lit(SALTS)).cast("int")).join(several, ["h", "salt"], "left").withColumn("different", F.coalesce("different", F.lit(1))).drop("salt")
+    told = found.join(counted_pieces, piece)
     direct = told.where("copies > 1").select("row", F.col("at").alias("begin"), (F.col("at") + F.col("windows") * F.col("times") + (match - 1)).alias("end"))
     wanted = told.where("different > 1 and (copies = 1 or (one.row = row and one.at = at))")
     wanted = wanted.select("row", F.struct("at", "windows", "h", (F.col("copies") == 1).alias("single"), (F.col("different") > hot_pieces).alias("hot")).alias("w"))
@@ -272,20 +270,20 @@ def suffix_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     placed = rows.select("row", "doc_id", "text", sieve_place(F.col("row")).alias("place"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     sift = lambda fine: placed.mapInArrow(_sift(fine, True), f"row long, doc_id {kind}, text string")
-    sliced = sift(spark.sparkContext.broadcast(sieve(by_row, "row"))).join(by_row, "row").select("row", "text", "wanted").mapInArrow(_slices(match, gram), "h long, row long, at int, single boolean, body binary, lot int, hashes array<long>")
+    sliced = sift(spark.sparkContext.broadcast(sieve(by_row, "row"))).join(by_row, "row").select("row", "text", "wanted").mapInArrow(_slices(match, gram), "h long, row long, at int, single boolean, body binary, lot int, hashes array<long>, hashes2 array<long>")
     sliced = checkpoint(sliced)
 
     bodies = sliced.where("body is not null").select("h", "row", "at", "single", "body").repartition(parts, "h").sortWithinPartitions("h", "row", "at")
     matched = bodies.mapInArrow(_index(match), "row long, begin int, end int")
 
     # Lots that are equal as a whole are repeated throughout, as pieces are; windows are made of the others and of one of each kind.
-    lots = sliced.where("body is null").select("h", "lot", "row", "at", "single", "hashes", F.xxhash64("hashes").alias("whole"))
+    lots = sliced.where("body is null").select("h", "lot", "row", "at", "single", "hashes", "hashes2", F.struct(F.xxhash64("hashes").alias("a"), F.xxhash64("hashes2").alias("b")).alias("whole"))
     same_lots = lots.groupBy("h", "lot", "whole").agg(F.count("*").alias("copies"), F.min(F.struct("row", "at")).alias("one"))
     kinds = same_lots.groupBy("h", "lot").agg(F.count("*").alias("different"))
     told_lots = lots.join(same_lots.join(kinds, ["h", "lot"]), ["h", "lot", "whole"])
     equal = told_lots.where("copies > 1 and single").select("row", F.col("at").alias("begin"), (F.col("at") + F.size("hashes") + (match - 1)).alias("end"))
     apart = told_lots.where("different > 1 and (copies = 1 or (one.row = row and one.at = at))")
-    windows = apart.select("row", "at", (F.col("single") & (F.col("copies") == 1)).alias("single"), F.posexplode("hashes").alias("k", "window"))
+    windows = apart.select("row", "at", (F.col("single") & (F.col("copies") == 1)).alias("single"), F.posexplode(F.arrays_zip("hashes", "hashes2")).alias("k", "window"))
     twice = windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
     counted = windows.where("single").join(twice, "window").select("row", (F.col("at") + F.col("k")).alias("begin"), (F.col("at") + F.col("k") + match).cast("int").alias("end"))
 
