@@ -12,7 +12,8 @@ at most. Files go through pyarrow's file systems, which the folder's scheme sele
 Defined cases: a null page is an empty payload, a null url an empty target; payloads of fewer than least_bytes
 are responses always. Of equal payloads under one page_id, one row is the response and the others refer to it; a
 null page_id sorts after all others. An empty table makes no bundle and gives no rows. Only page_id, url and html
-are read, so other columns cannot clash. A record larger than a frame has a frame of its own.
+are read, so other columns cannot clash. A record larger than a frame has a frame of its own. The pages must be a table, or a
+plan that gives the same rows in the same order again.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from pyspark.sql import functions as F
 from geoloom.llm.common import checkpoint, fresh_dir, pieces, small_batches
 
 FRAME_BYTES, BUNDLE_BYTES = 1 << 20, 256 << 20
+#: Neighbouring frames of a bundle that are read together.
+FRAMES_A_TASK = 16
 LEVEL = 3
 #: Of the seekable format: the magic of a skippable frame, that of the table's foot, and the foot's size.
 SKIPPABLE, SEEKABLE, FOOT = 0x184D2A5E, 0x8F92EAB1, 9
@@ -211,24 +214,25 @@ def read(index: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bundle, name = None, None
         for batch in batches:
-            for uri, frame in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for uri, frames in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if uri != name:
                     if bundle:
                         bundle.close()
                     bundle, name = Bundle(uri), uri
-                raw, at, rows = bundle.frame(frame), 0, []
-                while at < len(raw):
-                    found, at = parse(raw, at)
-                    rows.append(found)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r.page_id for r in rows], pa.int64()), pa.array([r.payload_bytes for r in rows], pa.int64()), pa.array([r.payload_digest for r in rows], pa.string()), pa.array([r.record_type for r in rows], pa.string()), pa.array([r.refers_to for r in rows], pa.int64()), pa.array([r.payload for r in rows], pa.binary())],
-                    names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"],
-                )
+                for frame in sorted(frames):
+                    raw, at, rows = bundle.frame(frame), 0, []
+                    while at < len(raw):
+                        found, at = parse(raw, at)
+                        rows.append(found)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([r.page_id for r in rows], pa.int64()), pa.array([r.payload_bytes for r in rows], pa.int64()), pa.array([r.payload_digest for r in rows], pa.string()), pa.array([r.record_type for r in rows], pa.string()), pa.array([r.refers_to for r in rows], pa.int64()), pa.array([r.payload for r in rows], pa.binary())],
+                        names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"],
+                    )
         if bundle:
             bundle.close()
 
-    frames = index.groupBy("bundle", "frame").agg(F.count(F.lit(1)).alias("n")).select("bundle", "frame").sortWithinPartitions("bundle", "frame")
-    return frames.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
+    ranges = index.groupBy("bundle", F.floor(F.col("frame") / FRAMES_A_TASK).alias("range")).agg(F.collect_set("frame").alias("frames")).select("bundle", "frames").sortWithinPartitions("bundle")
+    return ranges.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
 
 
 def archive(spark: SparkSession, pages: DataFrame, least_bytes: int = 0) -> DataFrame:
