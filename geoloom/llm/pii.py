@@ -9,8 +9,7 @@ Base spans per kind are leftmost non-overlapping matches that pass their check:
 
 The method adds spans. High-recall generators propose overlapping candidates (disguised addresses, addresses
 without a known ending, IPv6, digit groups with other separators, shorter cards, national numbers; of a run of digit
-groups every sub-span of 7 to 19 digits); boosted trees
-score each on format and context features; a threshold per kind, calibrated for precision on examples kept out
+groups every sub-span of 7 to 19 digits); boosted trees score each on format and context features; a threshold per kind, calibrated for precision on examples kept out
 of training, selects; of selected spans that overlap, the better score stays, and none overlaps a base span.
 The trees are trained here on composed examples, as no table labels personal data.
 
@@ -220,6 +219,11 @@ def _compose(rng: random.Random) -> tuple[str, str, int, int, int]:
     word = lambda: "".join(rng.choice(("an", "the", "er", "on", "re", "la", "en", "ti", "es", "or")) for _ in range(rng.randint(1, 4)))
     number = lambda n: "".join(str(rng.randint(0, 9)) for _ in range(n))
 
+    def other_word() -> str:
+        while (found := word()) in _ENDINGS:
+            pass
+        return found
+
     def card(n: int, right: bool) -> str:
         head = rng.choice("3456" if rng.random() < 0.7 else "123456789") + number(n - 2)
         last = next(str(d) for d in range(10) if luhn(head + str(d)))
@@ -228,7 +232,7 @@ def _compose(rng: random.Random) -> tuple[str, str, int, int, int]:
     kind, good = rng.choice(KINDS), rng.random() < 0.5
     if kind == "email":
         at, dot = rng.choice(((" (at) ", "."), ("(at)", "."), ("[at]", "[dot]"), (" [at] ", " [dot] "), (" at ", " dot "), (" @ ", "."), ("{at}", "."))) if good else (" at ", " dot ") if rng.random() < 0.4 else ("@", "")
-        body = f"{word()}{rng.choice(('', '.', '_'))}{word()}{at}{word()}{dot}{rng.choice(sorted(_ENDINGS)) if good else word() if dot else ''}"
+        body = f"{word()}{rng.choice(('', '.', '_'))}{word()}{at}{word()}{dot}{rng.choice(sorted(_ENDINGS)) if good else other_word() if dot else ''}"
     elif kind == "ip":
         if good:
             body = ":".join(f"{rng.randint(0, 65535):x}" for _ in range(8)) if rng.random() < 0.6 else f"{rng.randint(4096, 65535):x}:{rng.randint(0, 65535):x}::{rng.randint(0, 65535):x}"
@@ -245,7 +249,7 @@ def _compose(rng: random.Random) -> tuple[str, str, int, int, int]:
         body = rng.choice((f"({number(3)}) {number(3)}-{number(4)}", f"0{number(2)} {number(4)} {number(4)}", f"00{rng.randint(11, 99)} {number(3)} {number(3)} {number(3)}", f"{rng.randint(200, 999)}-{rng.randint(200, 999)}-{number(4)}", f"0{number(3)}/{number(7)}", f"{rng.randint(200, 999)}.{rng.randint(200, 999)}.{number(4)}"))
     else:
         body = rng.choice((f"{rng.randint(1900, 2030)}-{rng.randint(1, 12):02}-{rng.randint(1, 28):02}", f"{rng.randint(1, 28):02}.{rng.randint(1, 12):02}.{rng.randint(1900, 2030)}", number(rng.randint(7, 15)), f"{number(3)} {number(3)} {number(3)}", f"{number(3)}.{number(3)}.{number(3)}", f"{rng.randint(1, 9)}.{number(3)}.{number(3)}", f"978-{number(1)}-{number(4)}-{number(4)}-{number(1)}", f"{rng.randint(1900, 2030)}-{rng.randint(1900, 2030)}", f"{rng.randint(1, 28):02}/{rng.randint(1, 12):02}/{rng.randint(1900, 2030)}"))
-    cue = rng.choice(_CUES[kind][:-1]) + rng.choice((": ", " ", "")) if rng.random() < (0.45 if good else 0.15) else rng.choice(("order ", "id ", "no. ", "isbn ", "")) if not good and rng.random() < 0.4 else ""
+    cue = rng.choice(_CUES[kind][:-1]) + rng.choice((": ", " ", " ")) if rng.random() < (0.45 if good else 0.15) else rng.choice(("order ", "id ", "no. ", "isbn ", "")) if not good and rng.random() < 0.4 else ""
     left = " ".join(word() for _ in range(rng.randint(0, 6))) + " " + cue
     return f"{left}{body} {' '.join(word() for _ in range(rng.randint(0, 6)))}", kind, len(left), len(left) + len(body), int(good)
 
@@ -290,7 +294,7 @@ class Selector:
     thresholds: dict[str, float]
 
     def added(self, text: str, base: dict[str, list[Span]]) -> list[tuple[str, int, int]]:
-        taken = sorted(s for spans in base.values() for s in spans)
+        taken = _disjoint(sorted(s for spans in base.values() for s in spans))
         free = (c for c in dict.fromkeys(candidates(text)) if not _touches(taken, c[1], c[2]))
         scored: list[tuple[float, tuple[str, int, int]]] = []
         while some := list(itertools.islice(free, SCORED)):
@@ -310,10 +314,21 @@ def _best(scored: list[tuple[float, tuple[str, int, int]]]) -> list[tuple[float,
     return out
 
 
+def _disjoint(spans: list[Span]) -> list[Span]:
+    """Sorted spans with those that overlap made one."""
+    out: list[Span] = []
+    for start, end in spans:
+        if out and start < out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
 def _touches(spans: list[Span], start: int, end: int) -> bool:
-    """Whether a span of a sorted list without overlaps overlaps [start, end); spans of different kinds may nest."""
+    """Whether a span of a sorted list without overlaps overlaps [start, end)."""
     at = bisect_left(spans, (end, 0))
-    return any(e > start for _, e in spans[max(0, at - 2 * len(KINDS)) : at])
+    return at > 0 and spans[at - 1][1] > start
 
 
 @functools.cache
