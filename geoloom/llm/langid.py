@@ -10,7 +10,8 @@ subwords: a few tell little, so a text that is short or repeats itself needs a l
 
 Defined cases: a null text, an empty one, or one without a letter is `und` with score 0. Without any labelled
 row (or an empty table) there is no model and every text is `und`. A null id counts as the empty text in folds.
-Very long texts are scored whole, in bounded batches. Ties between languages go to the first in sorted order.
+Very long texts are scored whole, in bounded batches. Ties between languages go to the first in sorted order. Repeated rows
+are treated alike, one by one. Columns may have any names; kept ones that are called like a result give way to it.
 """
 
 from __future__ import annotations
@@ -255,6 +256,7 @@ def identify(docs: DataFrame, model: LanguageModel | None, keep: list[str], text
     spark = docs.sparkSession
     small_batches(spark)
     shipped = spark.sparkContext.broadcast(model)  # its size is fixed by BITS
+    keep = [c for c in keep if c not in ("lang_pred", "score", "rejected")]
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
