@@ -78,7 +78,13 @@ def test_run_length_index_matches_brute_force():
             a, b = texts[p[0]][p[1] :], texts[q[0]][q[1] :]
             return next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
 
-        assert RunLengthIndex(texts).matching_statistics().tolist() == [max((shared(p, q) for q in places if q != p), default=0) for p in places]
+        index = RunLengthIndex(texts)
+        want = [max((shared(p, q) for q in places if q != p), default=0) for p in places]
+        assert index.matching_statistics().tolist() == want and index.lengths.sum() == len(want)
+        for least in (1, 3, 7):
+            first, last = index.long_matches(least)
+            assert {k for a, b in zip(first.tolist(), last.tolist(), strict=True) for k in range(a, b + 1)} == {k for k, n in enumerate(want) if n >= least}
+    assert len(RunLengthIndex([b"some text that comes again and again"] * 200).heads) < 600
 
 
 def shingles(text):
@@ -99,23 +105,48 @@ def joined(rows):
             return least
 
 
+def degrees(rows):
+    """By place, how many other rows each is linked with."""
+    sets = [shingles(t) if i is not None else set() for i, t in rows]
+    return [sum(bool(a) and k != j and 9 * len(a & b) >= 4 * (len(a) + len(b)) for j, b in enumerate(sets)) for k, a in enumerate(sets)]
+
+
 @pytest.mark.parametrize("block_rows", [1000, 2])
-def test_jaccard_join_matches_brute_force(docs, block_rows):
+def test_jaccard_join_matches_brute_force(spark, docs, block_rows):
     got = jaccard_join.jaccard_join(docs, block_rows=block_rows).collect()
     least = joined(ROWS)
-    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == Counter((i, len(shingles(t)), least.get(i)) for i, t in ROWS)
-
-
-def test_rtree_bounds_never_lose_a_link():
-    sets = [np.unique(np.array([rng.getrandbits(64) for _ in range(rng.randint(1, 90))], np.uint64)) for _ in range(30)]
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in got) == Counter((i, len(shingles(t)), least.get(i), d) for (i, t), d in zip(ROWS, degrees(ROWS), strict=True))
+
+
+def test_jaccard_join_of_hot_blocks_matches_brute_force(spark):
+    """Families of near copies of several sizes, some linked by chains only, copies among them, and a passage that all share."""
+    own = random.Random(11)
+    rows, start = [], prose(30)
+    for family in range(6):
+        base = (start + " " + prose(20 + 15 * family)).split()
+        for _ in range(14):
+            words = [w if own.random() > 0.02 else f"x{own.randint(0, 9)}" for w in base]
+            rows.append(" ".join(words[: len(words) - own.randint(0, 8)]))
+    rows += own.choices(rows, k=12)
+    own.shuffle(rows)
+    rows = [(k, t) for k, t in enumerate(rows)]
+    path = fresh_dir(spark, "test")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(path)
+    want, least = degrees(rows), joined(rows)
+    assert max(want) > 10 and len(set(least.values())) > 5
+    for block_rows in (1000, 7):
+        got = {r["doc_id"]: r for r in jaccard_join.jaccard_join(spark.read.parquet(path), block_rows=block_rows).collect()}
+        assert [(got[k]["component_id"], got[k]["n_links"]) for k, _ in rows] == [(least[k], want[k]) for k, _ in rows]
+
+
+def test_rtree_yields_every_link_once():
+    sets = [np.unique(np.array([rng.getrandbits(64) for _ in range(rng.choice([1, 3, 20, 60, 90, 130]))], np.uint64)) for _ in range(60)]
     sets += [np.unique(np.concatenate([s[: max(1, len(s) - 3)], np.array([rng.getrandbits(64)], np.uint64)])) for s in sets]
-    tree = jaccard_join.RTree([np.frombuffer(jaccard_join.count_vector(s), np.uint8) for s in sets], np.array([len(s) for s in sets]))
-    for i, a in enumerate(sets):
-        near = set(tree.partners(i).tolist())
-        for j, b in enumerate(sets):
-            both = len(np.intersect1d(a, b))
-            assert tree.bound(i, j) >= both
-            assert i == j or 9 * both < 4 * (len(a) + len(b)) or j in near
+    found = [(i, j) for a, b in jaccard_join.candidates([np.frombuffer(jaccard_join.count_vector(s), np.uint8) for s in sets], np.array([len(s) for s in sets])) for i, j in zip(a.tolist(), b.tolist(), strict=True)]
+    once = {frozenset(p) for p in found}
+    assert len(once) == len(found) and all(len(p) == 2 for p in once)
+    linked = {frozenset((i, j)) for i, a in enumerate(sets) for j, b in enumerate(sets) if i < j and 9 * len(np.intersect1d(a, b)) >= 4 * (len(a) + len(b))}
+    assert len(linked) > 30 and linked <= once and len(once) < 300
 
 
 def test_pii_base_spans_are_those_of_the_patterns():
@@ -142,6 +173,22 @@ def test_pii_adds_disguised_spans_and_leaves_clean_text_alone(docs):
     assert all(not r["base"] and not r["added"] for r in pii.detect(docs).collect())
 
 
+def test_pii_touches_no_base_span_and_recalls_composed_data():
+    model = pii.selector()
+    ips = ".".join(["10.0.0.1"] * 12)
+    base, added = pii.find(f"x@{ips}.com 415-555-1234", model)
+    assert not any(s < e2 and s2 < e for _, s, e in added for spans in base.values() for s2, e2 in spans)
+    own, found, many = random.Random(77), Counter(), Counter()
+    while min(many.values(), default=0) < 100:
+        text, kind, start, end, good = pii._compose(own)
+        if good:
+            base, added = pii.find(text, model)
+            many[kind] += 1
+            found[kind] += any(s <= start + 1 and end <= e for s, e in (*((s, e) for spans in base.values() for s, e in spans), *(c[1:] for c in added)))
+    print({kind: found[kind] / many[kind] for kind in many})
+    assert all(found[kind] >= 0.9 * many[kind] for kind in many)
+
+
 def test_pii_finds_numbers_side_by_side():
     model = pii.selector()
     for text, want in (
@@ -185,31 +232,122 @@ def test_lexicon_is_exact_and_shares_suffixes(tmp_path):
     assert len(lexicon.first) < 20  # states of 20 words of 5 letters
 
 
-def test_decontaminate(spark, docs):
-    item = "In spring Anna walked 12 km to the old mill and then sold 30 baskets of red apples to the miller."
-    other = item.replace("12", "7").replace("30", "44").replace("Anna", "Bert")
-    mixed = item.replace("30", "12").replace("12 baskets", "12 baskets")
-    rows = [(1, f"{prose(20)}. {item} {prose(9)}"), (2, f"{prose(5)}.\n{other}"), (3, prose(80)), (4, None), (5, ""), (6, item.upper()), (7, mixed)]
-    bench = spark.createDataFrame([(1, item), (2, None), (3, "too short"), (1, item)], "item_id long, text string")
-    frame = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r["doc_id"]: r for r in decontaminate.mark(frame, bench, ["doc_id"]).collect()}
-    assert {i for i, r in got.items() if r["contaminated"]} >= {1, 2} and not got[3]["contaminated"] and not got[4]["contaminated"]
-    assert got[1]["items"] == [1]
-    assert decontaminate.consistent(["3", "x", "3"], ["5", "x", "6"], np.array([True, False, True])) is False
-    assert decontaminate.mark(docs, bench.where("false"), ["doc_id"]).where("contaminated").count() == 0
-
-
-def test_decontaminate_finds_verbatim_items_of_few_plain_words():
-    sums = "12 + 34 = 46 and 5 * 7 = 35 and 81 / 9 = 9 so 18 - 4 = 14 or 3 * 3 = 9 then 2 + 2 = 4"
-    names = "the list has Anna Bert Carl Dora Emil Fritz Gerda Hans Ida Jan Karl Lena Max"
-    short, question = "Compute 12 times 7", "Which river flows through the old town of the northern duchy"
-    table = decontaminate.Benchmark([(1, sums), (2, names), (3, short), (4, question)])
-    found = lambda text: table.matches(text)[0]
-    assert found(f"some words before, {sums} and some after") == [1]
-    assert found(f"so {names} and others") == [2]
-    assert found(f"some words without an end {short} and some after") == found(f"An end. {short}.") == [3]
-    assert found(f"some words without an end {question} and some after") == found(f"An end. {question}?") == [4]
-    assert found("An end. Compute 15 times 9.") == found(sums.replace("12", "13").replace("5 *", "6 *").replace("9 so", "8 so").replace("3 * 3", "4 * 3")) == []
+UNITS = decontaminate.UNITS
+
+
+def plain_template(text):
+    """(typed token, value, whether a title or unit word) of each token, by the rules as written."""
+    out, before = [], "end"
+    for token in re.findall(r"[0-9]+(?:[.,][0-9]+)*|[^\W\d_]+|[.!?\n]", text or ""):
+        low = token.lower()
+        if token in ".!?\n":
+            before = "end"
+            continue
+        if token[0].isdigit():
+            kind = "number"
+        elif low in UNITS:
+            kind = "unit" if before == "number" else "word"
+        elif token[0].isupper() and token[1:] == low[1:]:
+            kind = "name" if before != "end" else "word"
+        else:
+            kind = "word"
+        out.append((low if kind == "word" else f"<{kind}>", low, "unit" if low in UNITS else "name" if token[0].isupper() and token[1:] == low[1:] else None))
+        before = "number" if kind == "number" else "other"
+    return out
+
+
+def plain_matches(text, items, window=13, least=6):
+    """Ids of the items found and the number of windows, by trying every alignment that has an equal window."""
+    doc, found, n = plain_template(text), set(), 0
+    typed_doc, places = [t[0] for t in doc], {}
+    for item_id, item_text in items:
+        item = plain_template(item_text)
+        size = min(window, len(item))
+        if size and size not in places:
+            places[size] = {}
+            for i in range(len(doc) - size + 1):
+                places[size].setdefault(tuple(typed_doc[i : i + size]), []).append(i)
+        typed = [t[0] for t in item]
+        diagonals = {i - j for j in range(len(item) - size + 1) for i in places[size].get(tuple(typed[j : j + size]), ())} if size else set()
+        if size and item[0][2] and typed[0][0] != "<":
+            diagonals |= set(places[size].get((f"<{item[0][2]}>", *typed[1:size]), ()))
+        for diagonal in diagonals:
+            equal = []
+            for j, (own, _, odd) in enumerate(item):
+                i = j + diagonal
+                as_slot = j == 0 and own[0] != "<" and odd is not None and 0 <= i < len(doc) and doc[i][0] == f"<{odd}>"
+                equal.append(0 <= i < len(doc) and (doc[i][0] == own or as_slot))
+            at = 0
+            while at < len(item):
+                end = at
+                while end < len(item) and equal[end]:
+                    end += 1
+                if end - at >= size:
+                    pairs = {(item[j][1], doc[j + diagonal][1]) for j in range(at, end) if doc[j + diagonal][0][0] == "<"}
+                    same = all(a == b for a, b in pairs)
+                    if same or len({a for a, _ in pairs}) == len(pairs) == len({b for _, b in pairs}):
+                        for start in range(at, end - size + 1):
+                            part = range(start, start + size)
+                            alike = all(item[j][1] == doc[j + diagonal][1] for j in part)
+                            if alike or sum(doc[j + diagonal][0][0] != "<" for j in part) >= least:
+                                n += 1
+                                found.add(item_id)
+                at = max(end, at + 1)
+    return sorted(i for i in found if i is not None), n
+
+
+ITEM = "In spring Anna walked 12 km to the old mill and then sold 30 baskets of red apples to the miller."
+SUMS = "12 + 34 = 46 and 5 * 7 = 35 and 81 / 9 = 9 so 18 - 4 = 14 or 3 * 3 = 9 then 2 + 2 = 4"
+NAMES = "the list has Anna Bert Carl Dora Emil Fritz Gerda Hans Ida Jan Karl Lena Max"
+SHORT, QUESTION = "Compute 12 + 30.", "Which river flows through the old town of the northern duchy"
+PERIODIC = "ha " * 40
+
+
+def test_decontaminate_matches_brute_force(spark):
+    other = ITEM.replace("12", "7").replace("30", "44").replace("Anna", "Bert").replace("km", "miles")
+    items = [(1, ITEM), (2, None), (3, "too short"), (1, ITEM), (4, SUMS), (5, NAMES), (6, SHORT), (7, QUESTION), (None, "an item that has no id at all but very many plain words in it"), (8, PERIODIC), (9, ""), (10, "Miles of road")]
+    texts = [
+        f"{prose(20)}. {ITEM} {prose(9)}", f"{prose(5)}.\n{other}", prose(80), None, "", ITEM.upper(), ITEM.replace("30", "12"), ITEM.replace("Anna", "Bert"), f"{ITEM} {other}", "it is too short", "Too short!",
+        f"some words before, {SUMS} and some after", f"so {NAMES} and others", f"words without an end {SHORT}", f"An end. {SHORT} {SHORT}", "Compute 15 + 31.", f"words without an end {QUESTION} and", f"An end. {QUESTION}?",
+        SUMS.replace("12", "13").replace("5 *", "6 *"), "an item that has no id at all but very many plain words in it", PERIODIC, PERIODIC * 3, "some 7 miles of road", "Miles of road", ITEM[:60], ITEM[30:], f"{ITEM[:70]} and {ITEM[40:]}", prose(3000) + ITEM,
+    ]
+    swap = random.Random(3)
+    for _ in range(30):
+        texts.append(re.sub(r"12|30|Anna|km|red|mill\b", lambda m: swap.choice([m[0], "12", "30", "44", "Anna", "Bert", "km", "days", "red"]), f"{prose(3)} {ITEM}"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    frame = spark.createDataFrame([(k, t, True, 5) for k, t in enumerate(texts)], "doc_id long, text string, contaminated boolean, found int")
+    path = fresh_dir(spark, "test")
+    frame.write.parquet(path)
+    frame = spark.read.parquet(path)
+    marked = decontaminate.mark(frame, bench, ["doc_id", "contaminated", "found"])
+    assert marked.columns == ["doc_id", "found", "contaminated", "n_windows", "items"]
+    got = {r["doc_id"]: r for r in marked.collect()}
+    for k, text in enumerate(texts):
+        want, n = plain_matches(text, items)
+        assert (got[k]["contaminated"], got[k]["n_windows"], got[k]["items"]) == (n > 0, n, want), text
+    flags = [got[k]["contaminated"] for k in range(9)]
+    assert flags == [True, True, False, False, False, True, False, True, True]  # a copy, other parameters, three others, upper case, slots that contradict each other
+    assert all(got[k]["contaminated"] for k in (9, 11, 12, 13, 14, 16, 17)) and not got[15]["contaminated"]
+    assert decontaminate.mark(frame, bench.where("false"), ["doc_id"]).where("contaminated").count() == 0
+    assert decontaminate.mark(frame.where("false"), bench, ["doc_id"]).count() == 0
+
+
+def test_decontaminate_recalls_other_parameters(spark):
+    """Questions of the given benchmark with a number, a name and a unit put in, and the same with others."""
+    own = random.Random(4)
+    rows = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").collect()
+    items, texts = [], []
+    for r in rows:
+        words = r["text"].split()
+        at = own.randint(2, len(words) - 3)
+        shape = lambda name, n, unit: " ".join([*words[:at], name, "has", n, unit, *words[at:]])  # noqa: E731, B023
+        items.append((r["item_id"], shape("Anna", "12", "km")))
+        texts.append((r["item_id"], f"{prose(30)}. {shape(own.choice(['Bert', 'Carla']), str(own.randint(13, 999)), own.choice(['miles', 'kg']))} {prose(20)}"))
+    texts += [(-k, prose(200)) for k in range(1, 101)]
+    bench, frame = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r["doc_id"]: r["items"] for r in decontaminate.mark(frame, bench, ["doc_id"]).collect()}
+    assert sum(i in got[i] for i, _ in items) >= 0.9 * len(items)
+    assert not any(got[-k] for k in range(1, 101))
 
 
 def test_warc_round_trip(spark):
@@ -225,16 +363,25 @@ def test_warc_round_trip(spark):
 
 
 def test_sharding_keeps_every_row(spark, docs):
-    store = sharding.Store(spark, fresh_dir(spark, "store"), target_bytes=60_000, least_bytes=1000, fan_in=2)
+    store = sharding.Store(spark, fresh_dir(spark, "store"), target_bytes=60_000, least_bytes=1000, fan_in=2, arrival_bytes=4000)
     for _ in range(5):
         store.append(docs)
-    version = store.version()
+    version, many = store.version(), len(store.shards())
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != "4000"
     store.compact()
-    assert store.version() > version and len(store.shards()) < 5
+    assert store.version() > version and len(store.shards()) < many
     assert not store.runs(store.shards())
-    assert Counter(map(tuple, store.read().collect())) == Counter({k: 5 * v for k, v in Counter(map(tuple, docs.collect())).items()})
-    with pytest.raises(RuntimeError):
-        store.commit(store.shards(), store.version())
+    want = Counter({k: 5 * v for k, v in Counter(map(tuple, docs.collect())).items()})
+    assert Counter(map(tuple, store.read().collect())) == Counter(map(tuple, store.read(store.version() - 1).collect())) == want
+    shards = {s.shard_id: s for s in store.shards()}
+    placed = store.placement().collect()
+    assert Counter(r["doc_id"] for r in placed) == Counter({i: 5 * n for i, n in Counter(i for i, _ in ROWS).items()})
+    assert Counter(r["shard_id"] for r in placed) == Counter({k: s.rows for k, s in shards.items()})
+    assert all((r["tier"], r["shard_bytes"]) == (store.tier(shards[r["shard_id"]].bytes), shards[r["shard_id"]].bytes) for r in placed)
+    with pytest.raises(RuntimeError, match="another writer"):
+        store.commit(store.manifest(), store.version())
+    with pytest.raises(ValueError):
+        store.append(docs.withColumn("_metadata", docs["text"]))
     assert sharding.shard(docs.where("false")).count() == 0
 
 
@@ -277,6 +424,40 @@ def test_quality_learns_and_scores_everything(spark, docs):
     assert {r["score"] for r in quality.score(docs, quality.fit_quality(frame, labels.where("false"), labels["doc_id"] >= 0)).collect()} == {0.5}
 
 
-def test_empty_tables(docs):
+def test_empty_tables(spark, docs):
     none = docs.where("false")
     assert exact_dedup.exact_dedup(none).count() == suffix_dedup.suffix_dedup(none).count() == jaccard_join.jaccard_join(none).count() == pii.detect(none).count() == 0
+    assert bpe.encode(none, tokenizer_path(spark)).count() == 0
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    assert quality.score(none, quality.fit_quality(none, labels, labels["doc_id"] >= 0)).count() == 0
+    assert langid.identify(none, langid.fit_languages(none, none["doc_id"] >= 0), ["doc_id"]).count() == 0
+
+
+def test_long_texts_in_parts_have_the_same_pieces(monkeypatch):
+    """Texts beyond PART are cut into overlapping parts; their windows and anchors are those of the whole text."""
+    text = prose(6000)
+    batch = pa.RecordBatch.from_arrays([pa.array([5, 6]), pa.array([text, text[:30_000]])], names=["row", "text"])
+
+    def windows():
+        out = {}
+        for found in suffix_dedup._anchors(200, 48, False)(iter([batch])):
+            for row, at, many, times, h, *_ in zip(*(c.to_pylist() for c in found.columns), strict=True):
+                assert times == 1
+                out.update({(row, k): h for k in range(at, at + many)})
+        return out
+
+    whole = windows()
+    monkeypatch.setattr(suffix_dedup, "PART", 1 << 12)
+    assert windows() == whole and len(whole) > 50_000
+
+
+def test_multi_megabyte_texts(spark):
+    big = " ".join(f"w{k % 9973}x{k % 31}" for k in range(500_000))
+    path = fresh_dir(spark, "test")
+    spark.createDataFrame([(1, big), (2, big + " more"), (3, "small text with a few words in it"), (4, None)], "doc_id long, text string").repartition(1).write.parquet(path)
+    frame = spark.read.parquet(path)
+    joined_ = {r["doc_id"]: r for r in jaccard_join.jaccard_join(frame).collect()}
+    assert joined_[2]["component_id"] == 1 and joined_[1]["n_links"] == 1 and joined_[3]["component_id"] == 3
+    assert {r["doc_id"]: r["n_removed"] > 4_000_000 for r in suffix_dedup.suffix_dedup(frame).collect()} == {1: True, 2: True, 3: False, 4: False}
+    assert {r["doc_id"]: len(r["ids"]) > 900_000 for r in bpe.encode(frame, tokenizer_path(spark)).collect()} == {1: True, 2: True, 3: False, 4: False}
+    assert sum(r["kept"] for r in exact_dedup.exact_dedup(frame).collect()) == 4
