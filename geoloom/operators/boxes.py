@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geoloom.functions import polygons
 
 SIDES = ("minx", "miny", "maxx", "maxy")
+#: Tiles of a region, or of a part of one, that are swept together.
+DENSE = 1000
 
 
 def overlap(a: str, b: str, touch: bool = False) -> Column:
@@ -36,34 +43,99 @@ def prefixed(frame: DataFrame, prefix: str) -> DataFrame:
     return frame.select(*(F.col(c).alias(prefix + c) for c in frame.columns))
 
 
-def newest_first(pairs: DataFrame, region: str = "l_region_id", rank: str = "rank", tolerance: float = 1e-9) -> DataFrame:
-    """For each region and tile, the area that no tile of a smaller rank covers (new_area), and whether it is selected.
-
-    Tiles of one rank do not cover each other. Instead of a loop over ranks each region is cut along all edges of its
-    tiles; in a cell the smallest rank wins. Regions meet only their own tiles, so work stays local to a region.
+def _new_areas(x0: np.ndarray, x1: np.ndarray, y0: np.ndarray, y1: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of boxes sorted by rank the area that no box of a smaller rank covers, and of that what no earlier box has either."""
+    if len(x0) == 1:
+        area = (x1 - x0) * (y1 - y0)
+        return area, area
+    xs, ys = np.unique(np.concatenate([x0, x1])), np.unique(np.concatenate([y0, y1]))
+    wide, high = np.diff(xs), np.diff(ys)
+    a0, a1, b0, b1 = np.searchsorted(xs, x0), np.searchsorted(xs, x1), np.searchsorted(ys, y0), np.searchsorted(ys, y1)
+    free = np.ones((len(wide), len(high)), bool)
+    new, own, left = np.zeros(len(x0)), np.zeros(len(x0)), free.size
+    edges = np.flatnonzero(np.concatenate([[True], rank[1:] != rank[:-1], [True]]))
+    for first, past in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        for i in range(first, past):
+            new[i] = wide[a0[i] : a1[i]] @ free[a0[i] : a1[i], b0[i] : b1[i]] @ high[b0[i] : b1[i]]
+        for i in range(first, past):
+            part = free[a0[i] : a1[i], b0[i] : b1[i]]
+            own[i] = new[i] if past == first + 1 else wide[a0[i] : a1[i]] @ part @ high[b0[i] : b1[i]]
+            left -= int(part.sum())
+            part[:] = False
+        if not left:  # the region is covered, older tiles add nothing
+            break
+    return new, own
+
+
+def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of one region's part after the other, (part, rank, x0, x1, y0, y1, ...): with new_area and own_area in the places of the last four."""
+    held: pa.Table | None = None
+
+    def areas(table: pa.Table) -> pa.RecordBatch:
+        table = table.combine_chunks()
+        part, rank, *sides = (table.column(k).to_numpy() for k in range(6))
+        new, own = np.zeros(len(part)), np.zeros(len(part))
+        edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            new[a:b], own[a:b] = _new_areas(*(s[a:b] for s in sides), rank[a:b])
+        rest = table.to_batches()[0].columns[6:] if len(part) else [c.combine_chunks() for c in table.columns[6:]]
+        return pa.RecordBatch.from_arrays([pa.array(new), pa.array(own), *rest], names=["new_area", "own_area", *table.column_names[6:]])
+
+    for batch in batches:
+        own = pa.Table.from_batches([batch])
+        held = own if held is None else pa.concat_tables([held, own])
+        part = held.column(0).to_numpy()
+        changes = np.flatnonzero(part[1:] != part[:-1])
+        whole = int(changes[-1]) + 1 if len(changes) else 0
+        if whole:
+            yield areas(held.slice(0, whole))
+            held = held.slice(whole)
+    if held is not None and held.num_rows:
+        yield areas(held)
+
+
+def newest_first(pairs: DataFrame, region: str = "l_region_id", rank: str = "rank", tolerance: float = 1e-9, dense: int = DENSE) -> DataFrame:
+    """For each region and tile the area that no tile of a smaller rank covers (new_area), whether it is selected, and own_area, of
+    which each place of a region counts once.
+
+    Tiles of one rank do not cover each other in new_area. A region's tiles are swept from the newest on over the cells that
+    their edges cut, until it is covered; one with more than dense tiles is cut into parts first, so a task holds a bounded grid.
     """
+    keys = [c for c in pairs.columns if c.startswith(("l_", "r_"))] + [rank]
+    many = F.count(F.lit(1)).over(Window.partitionBy(region))
+    rows = pairs.select(*keys).withColumn("_n", F.ceil(F.sqrt(many / F.lit(dense))).cast("int"))
     for low, high, name in (("minx", "maxx", "x"), ("miny", "maxy", "y")):
-        pairs = pairs.withColumn(f"{name}0", F.greatest(f"l_{low}", f"r_{low}")).withColumn(f"{name}1", F.least(f"l_{high}", f"r_{high}"))
-    own = Window.partitionBy(region)
-    for name in ("x", "y"):
-        pairs = pairs.withColumn(f"{name}s", F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.array(f"{name}0", f"{name}1")).over(own)))))
-    cut = lambda n: F.explode(F.expr(f"transform(filter(sequence(1, size({n}s) - 1), i -> {n}s[i - 1] >= {n}0 and {n}s[i] <= {n}1), i -> struct({n}s[i - 1] as a, {n}s[i] as b))"))
-    cells = pairs.withColumn("cx", cut("x")).withColumn("cy", cut("y")).drop("xs", "ys")
-    won = cells.withColumn("best", F.min(rank).over(Window.partitionBy(region, "cx.a", "cy.a")))
-    size = (F.col("cx.b") - F.col("cx.a")) * (F.col("cy.b") - F.col("cy.a"))
+        first, last = F.greatest(f"l_{low}", f"r_{low}"), F.least(f"l_{high}", f"r_{high}")
+        width = (F.col(f"l_{high}") - F.col(f"l_{low}")) / F.col("_n")
+        at = lambda v: F.least(F.greatest(F.floor((v - F.col(f"l_{low}")) / width).cast("int"), F.lit(0)), F.col("_n") - 1)  # noqa: B023, E731
+        rows = rows.withColumn(f"_{name}", F.explode(F.sequence(at(first), at(last))))
+        edge = lambda k: F.when(k >= F.col("_n"), F.col(f"l_{high}")).otherwise(F.col(f"l_{low}") + k * width)  # noqa: B023, E731
+        rows = rows.withColumn(f"{name}0", F.greatest(first, edge(F.col(f"_{name}")))).withColumn(f"{name}1", F.least(last, edge(F.col(f"_{name}") + 1)))
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.where("x0 < x1 and y0 < y1").repartition(parts, region, "_x", "_y").sortWithinPartitions(region, "_x", "_y", rank)
+    keyed = dealt.select(F.xxhash64(region, "_x", "_y").alias("_part"), F.col(rank).cast("double").alias("_rank"), "x0", "x1", "y0", "y1", *keys)
+    schema = T.StructType([T.StructField("new_area", T.DoubleType()), T.StructField("own_area", T.DoubleType()), *(keyed.schema[k] for k in keys)])
+    swept = keyed.mapInArrow(_sweep, schema).groupBy(*keys).agg(F.sum("new_area").alias("new_area"), F.sum("own_area").alias("own_area"))
     area = (F.col("l_maxx") - F.col("l_minx")) * (F.col("l_maxy") - F.col("l_miny"))
-    keys = [c for c in pairs.columns if c.startswith(("l_", "r_"))] + [rank]
-    out = won.groupBy(*keys).agg(F.sum(F.when(F.col(rank) == F.col("best"), size).otherwise(0.0)).alias("new_area"))
-    return out.withColumn("selected", F.col("new_area") > F.greatest(area, F.lit(1.0)) * tolerance)
+    return swept.withColumn("selected", F.col("new_area") > F.greatest(area, F.lit(1.0)) * tolerance)
 
 
 def coverage(selected: DataFrame, regions: DataFrame) -> DataFrame:
     """Covered share of each region of regions (l_ columns), from newest_first's rows; 0 without tiles."""
-    gained = selected.groupBy("l_region_id").agg(F.sum("new_area").alias("covered"))
+    gained = selected.groupBy("l_region_id").agg(F.sum("own_area").alias("covered"))
     area = (F.col("l_maxx") - F.col("l_minx")) * (F.col("l_maxy") - F.col("l_miny"))
     return regions.join(gained, "l_region_id", "left").withColumn("ratio", F.coalesce("covered", F.lit(0.0)) / area)
 
 
+def early_close(selected: DataFrame, rank: str = "rank", tolerance: float = 1e-6) -> DataFrame:
+    """(region_id, closed_at, last_rank): the first rank at which the tiles so far cover a region as a whole, if they do."""
+    area = (F.col("l_maxx") - F.col("l_minx")) * (F.col("l_maxy") - F.col("l_miny"))
+    per = selected.groupBy("l_region_id", rank).agg(F.sum("own_area").alias("gained"), F.first(area).alias("area"))
+    so_far = F.sum("gained").over(Window.partitionBy("l_region_id").orderBy(rank))
+    out = per.withColumn("so_far", so_far).groupBy(F.col("l_region_id").alias("region_id"))
+    return out.agg(F.min(F.when(F.col("so_far") >= F.col("area") - tolerance, F.col(rank))).alias("closed_at"), F.max(rank).alias("last_rank"))
+
+
 def footprint_join(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
     """Pairs whose polygons (l_rings, r_rings) share area, with shared_area. Sides must be the polygons' bounds.
 
