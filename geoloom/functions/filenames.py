@@ -256,8 +256,11 @@ def rewrite(parser: str, name: str, dialect: Dialect = SPARK) -> str:
         return "concat('_', " + ", ".join(f"regexp_extract({stem}, {pattern}, {k})" for k in range(1, 6)) + ", '.laz')"
     if parser == "id_southern_15":
         return regexp(name, r"(?i)11TTM470(965|980)(\.la[sz])$", "11TQG470$1$2")
-    if parser == "mgrs_zone_11":
-        return regexp(stem_sql(name, dialect), r"(?i)^(.*?)(\d{1,2})([C-HJ-NP-X][_-]?[A-HJ-NP-Z]{2}[_-]?\d{1,10}(?:[_-]\d{1,5})?)$", "${1}11${3}".replace("${1}", "$1").replace("${3}", "$3"))
+    if parser == "mgrs_zone_11":  # the last reference in the name, whatever follows it, gets the zone
+        stem, pattern = stem_sql(name, dialect), _quote(MGRS, dialect)
+        found = f"try_element_at(regexp_extract_all({stem}, {pattern}, 0), -1)" if dialect is SPARK else f"list_extract(regexp_extract_all({stem}, {pattern}, 0), -1)"
+        before = f"(length({stem}) - instr(reverse({stem}), reverse({found})) + 1 - length({found}))"
+        return f"coalesce(concat(substr({stem}, 1, {before}), '11', " + regexp(f"substr({stem}, {before} + 1)", "^[0-9]{1,2}", "") + f"), {stem})"
     if parser.startswith("mgrs_fixed_"):
         prefix = parser.removeprefix("mgrs_fixed_").upper()
         stem, pattern = stem_sql(name, dialect), _quote(GRID_TOKEN, dialect)
@@ -308,8 +311,10 @@ def decode_sql(parser: str, name: str, dialect: Dialect = SPARK) -> tuple[str, s
             quadrant = f"lower(regexp_extract({name}, {_quote('(?i)_([a-d])[.]la[sz]$', dialect)}, 1))"
             x = f"case when {quadrant} <> '' then {x} + case when {quadrant} in ('b', 'c') then 500 else 0 end end"
             y = f"case when {quadrant} <> '' then {y} + case when {quadrant} in ('a', 'b') then 500 else 0 end end"
-        fixed = parser.startswith("mgrs_fixed_")
-        return parts["found"], x, y, "cast(null as int)" if fixed else fields["epsg"]
+        epsg = "cast(null as int)" if parser.startswith("mgrs_fixed_") else fields["epsg"]
+        if parser == "tx_lower_rio_500m":
+            epsg = f"case when {quadrant} <> '' then {epsg} end"
+        return parts["found"], x, y, epsg
     x, y = parser_sql(parser, name, dialect)
     return "null", x, y, "cast(null as int)"
 
@@ -362,4 +367,4 @@ def decode(frame, parser: str, name: str = "filename"):
 def placeholder(name: Column) -> Column:
     """A stem that ends in an underscore and whose last token is not a number of six digits or more."""
     stem = F.regexp_replace(name, EXTENSION, "")
-    return stem.endswith("_") & ~F.regexp_extract(stem, r"([0-9]{6,})_+$", 1).rlike("[0-9]{6}")
+    return stem.endswith("_") & ~stem.rlike(r"(^|_)[0-9]{6,}_+$")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from geoloom.functions import filenames, grids, text
 from geoloom.operators import boxes, ledger, naming, planning, points, rasters
+from geoloom.plans import names
 from geoloom.plans.fixtures import FIXTURES, fixture, fixture_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,8 +130,7 @@ def _(spark, sf_dir, regions, tiles):
 
 
 def _covered(regions: DataFrame, tiles: DataFrame) -> DataFrame:
-    """Each tile its own rank, so that no area counts twice."""
-    found = boxes.newest_first(_pairs(regions, tiles).withColumn("rank", F.col("r_tile_id")))
+    found = boxes.newest_first(_pairs(regions, tiles).withColumn("rank", F.col("r_rank")))
     return boxes.coverage(found, boxes.prefixed(regions, "l_"))
 
 
@@ -140,17 +140,11 @@ def _(spark, sf_dir, regions, tiles):
     return _covered(regions, tiles).withColumnRenamed("l_state", "state").rollup("state").agg(F.count("*").alias("regions"), F.count_if(full).alias("covered"))
 
 
-@query("w05_early_close", f"{_COVERAGE}, g AS (SELECT region_id, rank, any_value(area) AS area, sum(new_area) AS gained FROM s GROUP BY region_id, rank), k AS (SELECT *, sum(gained) OVER (PARTITION BY region_id ORDER BY rank) AS so_far FROM g) SELECT region_id, min(rank) FILTER (so_far >= area - 1e-6) AS closed_at, max(rank) AS last_rank FROM k GROUP BY region_id", "regions", "tiles")
+# the union of what the tiles of a rank add: a cell counts for the least rank that covers it, however many of its tiles do
+@query("w05_early_close", f"{_COVERAGE}, o AS (SELECT DISTINCT region_id, area, ca, cb, ra, rb, best FROM m), g AS (SELECT region_id, best AS rank, any_value(area) AS area, sum((cb - ca) * (rb - ra)) AS gained FROM o GROUP BY region_id, best), k AS (SELECT *, sum(gained) OVER (PARTITION BY region_id ORDER BY rank) AS so_far FROM g) SELECT p.region_id, min(k.rank) FILTER (so_far >= k.area - 1e-6) AS closed_at, max(p.rank) AS last_rank FROM p LEFT JOIN k ON k.region_id = p.region_id AND k.rank = p.rank GROUP BY p.region_id", "regions", "tiles")
 def _(spark, sf_dir, regions, tiles):
     """The first rank at which a region is covered, if it is."""
-    from pyspark.sql import Window
-
-    found = boxes.newest_first(_pairs(regions, tiles).withColumn("rank", F.col("r_rank")))
-    area = (F.col("l_maxx") - F.col("l_minx")) * (F.col("l_maxy") - F.col("l_miny"))
-    # tiles of one rank may overlap each other: their common cells count for each, as the SQL does
-    per = found.groupBy("l_region_id", "rank").agg(F.sum("new_area").alias("gained"), F.first(area).alias("area"))
-    so_far = F.sum("gained").over(Window.partitionBy("l_region_id").orderBy("rank"))
-    return per.withColumn("so_far", so_far).groupBy(F.col("l_region_id").alias("region_id")).agg(F.min(F.when(F.col("so_far") >= F.col("area") - 1e-6, F.col("rank"))).alias("closed_at"), F.max("rank").alias("last_rank"))
+    return boxes.early_close(boxes.newest_first(_pairs(regions, tiles).withColumn("rank", F.col("r_rank"))))
 
 
 @query("j04_dem_grid_overlap", "WITH g AS (SELECT *, cast(unnest(range(floor(minx / 10)::bigint, ceil(maxx / 10)::bigint)) as bigint) AS gx FROM {regions}), h AS (SELECT *, cast(unnest(range(floor(miny / 10)::bigint, ceil(maxy / 10)::bigint)) as bigint) AS gy FROM g) SELECT gx, gy, count(*) AS regions, min(region_id) AS owner FROM h GROUP BY gx, gy", "regions")
@@ -240,44 +234,15 @@ def _(spark, sf_dir, names):
 
 # Names: one query a parser, over names that fit it and names that do not
 
-_TEMPLATES: dict[str, str] = {
-    "full_xy": "concat('t_', a, c, b, d, '.las')", "axis_pair": "concat('t_E', a, 'N', b, '.laz')", "axis_named_pair": "concat('t_N', a, '_w', b, '.laz')", "axis_suffix_pair": "concat('t_', a, 'E_', b, 'N_LAS_2019.laz')",
-    "number_pair": "concat('t_', a, '_', b, '.laz')", "number_pair_date": "concat('t_', a, '55_', b, '44_20210703.laz')", "odd_km_pair": "concat('t_', a, b, '.laz')", "ct_quadrant_2500ft": "concat('t_', c, d, '_', q, '.laz')",
-    "fl_fdem_5000ft": "concat('t_', c, d, case when k % 3 = 0 then '_W' when k % 3 = 1 then '_0903' else '' end, '.laz')", "ca_solano_2640ft": "concat('t_', a, '7E', b, '3N.laz')", "mn_utm_pair": "concat('t_', case when k % 2 = 0 then c else a end, '_', a, case when k % 2 = 0 then '' else '5' end, '.laz')",
-    "nj_5000ft": "concat('t_', substr('ABCDEFGHIJKL', cast(k % 12 + 1 as int), 1), cast(k % 26 as string), substr('ABCD', cast(k % 4 + 1 as int), 1), cast(k % 18 as string), '.laz')",
-    "tn_7000x4000ft": "concat('t_', a, c, q, '.laz')", "vt_1400m_legacy_center": "concat('t_N', cast(7 + 14 * (k % 400) + 1000 as string), 'E', c, '.laz')", "zone_full_xy": "concat('t_18TXY00000', a, '00000', b, '.laz')", "pa_luzerne_2500ft": "concat('t_', case when k % 2 = 0 then '2' else '' end, a, b, '.laz')",
-    "pa_dauphin_5000ft": "concat('t_', a, b, 'PAS.laz')", "letter_row_number_column": "concat('t_', substr('ABCDEFGHIJKL', cast(k % 12 + 1 as int), 1), case when k % 2 = 0 then 'q' else '' end, c, '.laz')", "sc_5000ft_quadrants": "concat('t_', a, '_0', cast(k % 6 as string), '.laz')",
-    "sc_savannah_5000ft": "concat('t_', a, b, '_17.laz')", "wi_sewrpc_10kft": "concat('t_LD15_', a, '_', c, '.laz')", "wi_2500ft_quadrants": "concat('t_', a, b, case when k % 2 = 0 then q else '' end, '.laz')", "wa_thurston_4500ft": "concat('t_w', a, '0n', b, '5.laz')",
-    "mgrs": "concat('t_', cast(k % 62 as string), substr('CDEFGHJKLMNPQRSTUVWX', cast(k % 20 + 1 as int), 1), substr('ABCDEFGHJKLMNPQRSTUVWXYZ', cast(k % 24 + 1 as int), 1), substr('ABCDEFGHJKLMNPQRSTUV', cast(k % 20 + 1 as int), 1), a, '.laz')",
-    "mgrs_zone14_legacy_columns": "concat('t_14', substr('RSTU', cast(k % 4 + 1 as int), 1), substr('JKLMNOPQ', cast(k % 8 + 1 as int), 1), 'V', a, '.laz')", "mgrs_separated_xy": "concat('t_13S_', substr('STUVWXYZ', cast(k % 8 + 1 as int), 1), 'R_', a, '1_', b, '7.laz')",
-    "id_southern_15": "concat('t_11T', case when k % 3 = 0 then 'TM470965' when k % 3 = 1 then 'TM470980' else concat('NH00', substr(a, 1, 2)) end, '.laz')", "mgrs_zone_11": "concat('t_10SKA', a, '.laz')", "tx_lower_rio_500m": "concat('t_14RPV', a, '_', substr('abcde', cast(k % 5 + 1 as int), 1), '.laz')",
-    "mgrs_fixed_16s": "concat('t_', substr('ABCDEFGH', cast(k % 8 + 1 as int), 1), 'C_', a, '.laz')", "zone_tokens": "concat('t_17RLM', a, c, '8.laz')", "zone_tokens_grid_lm": "concat('t_17R', case when k % 2 = 0 then 'LM' else 'KL' end, a, c, '8.laz')", "ca_eldorado_2500ft": "concat('t_10SEH', c, d, '.laz')",
-}
-for _p in ("mgrs_tokens", "mgrs_zero_x_next_100km", "mgrs_absolute_tokens", "mgrs_zero_x_columns_tu"):
-    _TEMPLATES[_p] = _TEMPLATES["mgrs"]
-for _p in ("nc_panel_5000ft", "nc_panel_2500ft", "nc_panel_1250ft"):
-    _TEMPLATES[_p] = "concat('t_LA_37_', a, substr(b, 1, 2), substr(d, 2, 2), '_LAS_2018.laz')"
-for _p in ("il_mchenry_2500ft", "nh_2500ft", "single_number_split_4"):
-    _TEMPLATES[_p] = "concat('t_', a, b, '_LAS_2018.laz')"
-for _p in ("az_eastern_pima_5k", "mt_1000m_wrapped", "ca_san_diego_5k", "mi_2500ft", "mi_2500ft_wrapped", "single_number_split_3"):
-    _TEMPLATES[_p] = "concat('t_', c, d, '_19.laz')"
-for _p in ("single_number_split_5", "single_number_split_6", "single_number_split_7"):
-    _TEMPLATES[_p] = "concat('t_', a, c, b, '9.laz')"
-_TEMPLATES["sc_savannah_2500ft"] = _TEMPLATES["sc_savannah_5000ft"]
-
-
-def _register_parser(parser: str, template: str) -> None:
-    named = f"case when k % 50 = 49 then concat('odd-', a) else {template} end"
-    inner, x, y, epsg = filenames.decode_sql(parser, "filename", filenames.DUCKDB)
-    oracle = f"WITH n AS (SELECT k, {named.replace('as string', 'as varchar')} AS filename FROM {{names}}), i AS (SELECT k, filename, {inner} AS f FROM n) SELECT k, filename, cast({x} as double) AS x, cast({y} as double) AS y, cast(case when {'f is not null' if inner != 'null' else 'true'} then {epsg} end as int) AS epsg FROM i"
-
-    @query(f"n_parse_{parser}", oracle, "names")
-    def _(spark, sf_dir, names):
-        return filenames.decode(names.select("k", F.expr(named).alias("filename")), parser)
-
-
-for _p, _t in _TEMPLATES.items():
-    _register_parser(_p, _t)
+
+def _register_parser(parser: str, case: names.Case) -> None:
+    @query(f"n_parse_{parser}", names.oracle(case), "names")
+    def _(spark, sf_dir, rows):
+        return filenames.decode(rows.select("k", F.expr(names.named(case)).alias("filename")), parser)
+
+
+for _p, _c in names.CASES.items():
+    _register_parser(_p, _c)
 
 
 @query("n_parse_ca_upper_pit_5k", None, "names")  # projections are beyond SQL; the tests lead known corners back
@@ -317,10 +282,13 @@ def _(spark, sf_dir):
     return found.join(wanted.distinct(), "link", "left_semi").groupBy("link").agg(F.count("*").alias("pages"))
 
 
-@query("f08_placeholders", "SELECT k, n, ends_with(regexp_replace(n, '(?i)(\\.la[sz])+$', ''), '_') AND NOT regexp_matches(regexp_extract(regexp_replace(n, '(?i)(\\.la[sz])+$', ''), '([0-9]{6,})_+$', 1), '[0-9]{6}') AS placeholder FROM (SELECT k, concat('t_', CASE k % 3 WHEN 0 THEN a || '_' WHEN 1 THEN a || b || '_' ELSE a END, '.laz') AS n FROM {names})", "names")
-def _(spark, sf_dir, names):
-    named = names.select("k", F.expr("concat('t_', case k % 3 when 0 then concat(a, '_') when 1 then concat(a, b, '_') else a end, '.laz')").alias("n"))
-    return named.withColumn("placeholder", filenames.placeholder(F.col("n")))
+_PLACEHOLDER = "concat('t_', case k % 4 when 0 then concat(a, '_') when 1 then concat(a, b, '_') when 2 then concat('ABC', a, b, '_') else a end, case when k % 5 = 0 then '_' else '' end, '.laz')"
+
+
+# a name with no last token of six digits: only those of one kind have it, and a name without a last underscore is none
+@query("f08_placeholders", f"SELECT k, {_PLACEHOLDER} AS n, k % 4 IN (0, 2) OR k % 4 = 3 AND k % 5 = 0 AS placeholder FROM {{names}}", "names")
+def _(spark, sf_dir, rows):
+    return rows.select("k", F.expr(_PLACEHOLDER).alias("n")).withColumn("placeholder", filenames.placeholder(F.col("n")))
 
 
 @query("f03_extension_filter", "SELECT k, n, lower(regexp_extract(n, '[^.](\\.[^./]*)$', 1)) AS extension, regexp_replace(n, '^(.*?)(\\.[^./]*)?$', '\\1_x\\2') AS suffixed FROM (SELECT k, concat('t_', a, CASE k % 3 WHEN 0 THEN '.TIF' WHEN 1 THEN '.tiff' ELSE '' END) AS n FROM {names})", "names")
@@ -481,14 +449,15 @@ def _(spark, sf_dir, requests):
     return ledger.missing_outputs(requests.select("region_id", "filename").distinct(), requests.where("arrived"), ["filename"]).select("region_id", "filename")
 
 
-@query("u03_complete_regions", "WITH n AS (SELECT DISTINCT region_id, filename, filename IN (SELECT filename FROM {requests} WHERE arrived) AS there FROM {requests}) SELECT region_id, count(*) AS required, count(*) FILTER (there) AS there FROM n GROUP BY region_id HAVING bool_and(there)", "requests")
-def _(spark, sf_dir, requests):
-    return ledger.complete_groups(requests.select("region_id", "filename").distinct(), requests.where("arrived"), "region_id", "filename")
+@query("u03_complete_regions", "WITH n AS (SELECT DISTINCT l_orderkey AS region_id, l_partkey AS item, l_partkey % 31 <> 0 AS there FROM lineitem) SELECT region_id, count(*) AS required, count(*) FILTER (there) AS there FROM n GROUP BY region_id HAVING bool_and(there)")
+def _(spark, sf_dir):
+    wanted = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("region_id"), F.col("l_partkey").alias("item"))
+    return ledger.complete_groups(wanted.distinct(), wanted.where("item % 31 <> 0"), "region_id", "item")
 
 
-@query("u02_pending", "SELECT s_suppkey FROM supplier EXCEPT SELECT l_suppkey FROM lineitem WHERE l_quantity > 49")
+@query("u02_pending", "SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderkey % 16 = 0")
 def _(spark, sf_dir):
-    return table(spark, sf_dir, "supplier").select("s_suppkey").subtract(table(spark, sf_dir, "lineitem").where("l_quantity > 49").select("l_suppkey"))
+    return ledger.missing_outputs(table(spark, sf_dir, "customer").select("c_custkey"), table(spark, sf_dir, "orders").where("o_orderkey % 16 = 0").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
 
 
 @query("u01_usable_assets", "SELECT status, count(*) AS n FROM (SELECT status FROM {requests} WHERE status = 'success' UNION ALL SELECT status FROM {requests} WHERE status = 'skipped') GROUP BY status", "requests")
