@@ -93,24 +93,20 @@ def sheet_cover(boxes: DataFrame, least_fraction: float = 0.0) -> DataFrame:
     return rows.withColumn("code", sheet_code(west + SHEET_LON / 2, north - SHEET_LAT / 2))
 
 
-def _step(value: Column, step: Column, kind: str) -> Column:
-    ratio = value / step
-    near = F.rint(ratio)
-    if kind == "round":
-        return F.when(step > 0, near * step).otherwise(value)
-    whole = F.ceil(ratio) if kind == "ceil" else F.floor(ratio)
-    return F.when(step > 0, F.when(F.abs(ratio - near) <= 1e-9, near).otherwise(whole.cast("double")) * step).otherwise(value)
-
-
 def projected_box(axis: str) -> tuple[Column, Column]:
-    """Bounds along an axis from the columns <axis> and <axis>_scale, _offset, _origin, _ceil, _floor, _round, _anchor, _size, _padding."""
+    """Bounds along an axis from the columns <axis> and <axis>_scale, _offset, _origin, _ceil, _floor, _round, _anchor, _size, _padding.
+
+    At most one of the three steps is positive: it rounds the distance from the origin, where a value within 1e-9 of a step counts as on it.
+    """
     c = lambda name: F.col(f"{axis}_{name}")
     at = F.col(axis) * c("scale") + c("offset") - c("origin")
-    for kind in ("ceil", "floor", "round"):
-        at = _step(at, c(kind), kind)
-    at = at + c("origin")
-    low = F.when(c("anchor") == "min", at).when(c("anchor") == "max", at - c("size")).otherwise(at - c("size") / 2.0)
-    return low - c("padding"), low + c("size") + c("padding")
+    step = F.greatest(c("ceil"), c("floor"), c("round"))
+    ratio = at / step
+    near = F.rint(ratio)
+    whole = F.when((c("round") > 0) | (F.abs(ratio - near) <= 1e-9), near).when(c("ceil") > 0, F.ceil(ratio).cast("double")).otherwise(F.floor(ratio).cast("double"))
+    corner = F.when(step > 0, whole * step).otherwise(at) + c("origin")
+    low = corner - F.when(c("anchor") == "min", 0.0).when(c("anchor") == "max", c("size")).otherwise(c("size") / 2.0) - c("padding")
+    return low, low + c("size") + 2 * c("padding")
 
 
 def utm_tile(name: Column, north: bool = True, grid: int = 10000) -> list[Column]:

@@ -115,12 +115,15 @@ def plan_tiles(files: DataFrame, rules: list[Rule]) -> DataFrame:
     code = f"case when try_cast(horiz_crs as int) <= {LAST_EPSG} then concat('EPSG:', horiz_crs) when try_cast(horiz_crs as int) is not null then concat('ESRI:', horiz_crs) end"
     system = f"case s.crs when 'mgrs' then concat('EPSG:', cast(p.epsg as string)) when 'workunit' then {code} else s.crs end"
     tried = f"filter(flatten(transform(schemes, s -> transform(array({read}), p -> named_struct('s', s, 'x', p.x, 'y', p.y, 'tile_crs', {system})))), t -> t.x is not null and t.y is not null)"
-    first = rows.withColumn("_tried", F.expr(tried)).withColumn("_t", F.expr("get(filter(_tried, t -> t.tile_crs is not null), 0)"))
+    # a generator of one row keeps what it made as a column: projections above would else copy the whole expression for each mention
+    once = lambda frame, made, name: frame.select("*", F.explode(F.array(made)).alias(name))
+    first = once(once(rows, F.expr(tried), "_tried"), F.expr("get(filter(_tried, t -> t.tile_crs is not null), 0)"), "_t")
     kept = [*files.columns, "rule"]
     flat = first.select(F.struct(*kept).alias("_row"), F.coalesce(F.size("_tried") > 0, F.lit(False)).alias("_read"), "_t.x", "_t.y", "_t.tile_crs", "_t.s.*")
     (x0, x1), (y0, y1) = grids.projected_box("x"), grids.projected_box("y")
     naming = F.when(F.col("x").isNotNull(), F.coalesce("naming", "parser"))
-    return flat.select("_row.*", naming.alias("naming"), x0.alias("minx"), y0.alias("miny"), x1.alias("maxx"), y1.alias("maxy"), "tile_crs", (F.col("_read") & F.col("x").isNull()).alias("no_system"))
+    box = F.struct(naming.alias("naming"), x0.alias("minx"), y0.alias("miny"), x1.alias("maxx"), y1.alias("maxy"), F.col("tile_crs"), (F.col("_read") & F.col("x").isNull()).alias("no_system"))
+    return flat.select("_row", F.explode(F.array(box)).alias("_box")).select("_row.*", "_box.*")
 
 
 def audit(planned: DataFrame) -> DataFrame:
