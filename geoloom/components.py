@@ -6,8 +6,11 @@ before anything runs.
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,14 +36,26 @@ class Source:
     def plan(self, boxes: DataFrame) -> DataFrame:
         raise NotImplementedError
 
+    def product(self) -> Callable[[str], str] | None:
+        """What tells the path of the product from that of a file, where a file becomes one."""
+        return None
+
+    def materialize(self) -> Callable[[str, str | None], str] | None:
+        """What turns a file that came, with the request's detail, into its product, in the task that fetched it."""
+        return None
+
 
 class Step:
-    """process takes and gives assets (region_id, filename, path, status, error)."""
+    """process takes and gives assets (region_id, filename, path, status, error), beside the regions."""
 
     def flow(self, products: Products) -> Products:
         return products
 
-    def process(self, assets: DataFrame) -> DataFrame:
+    def expected(self, region_id: str) -> str | None:
+        """The file that the step will give for a region, where that is known beforehand."""
+        return None
+
+    def process(self, assets: DataFrame, boxes: DataFrame) -> DataFrame:
         raise NotImplementedError
 
 
@@ -77,7 +92,7 @@ class PassThrough(Step):
     def __init__(self, message: str = ""):
         self.message = message
 
-    def process(self, assets: DataFrame) -> DataFrame:
+    def process(self, assets: DataFrame, boxes: DataFrame) -> DataFrame:
         if self.message:
             print(self.message)
         return assets
@@ -94,7 +109,7 @@ class OnlyProducts(Step):
             raise ValueError(f"the chain gives {sorted(products)}, a step takes {sorted(self.products)}")
         return products & self.products
 
-    def process(self, assets: DataFrame) -> DataFrame:
+    def process(self, assets: DataFrame, boxes: DataFrame) -> DataFrame:
         return assets
 
 
@@ -122,18 +137,40 @@ class Pipeline:
 
         The files' states are held, as both tables read them and a download must not run twice.
         """
+        every, boxes = boxes, self.pending(spark, boxes, workspace)
         requests = self.source.plan(boxes)
         files = requests.groupBy("filename").agg(F.min_by("url", "ordinal").alias("url"))
         folder = settings.output_folder(self.output_dir, [], workspace)
-        got = download.download(files, folder, self.max_retries, self.retry_delay, self.overwrite, self.max_workers).persist()
+        extra = [c for c in ("form", "detail") if c in requests.columns]
+        files = files.join(requests.groupBy("filename").agg(*(F.min_by(c, "ordinal").alias(c) for c in extra)), "filename") if extra else files
+        got = download.download(files, folder, self.max_retries, self.retry_delay, self.overwrite, self.max_workers, self.source.materialize(), self.source.product()).persist()
         wanted = planning.targets_in_order(requests, "filename", "region_id", "ordinal")
         owned = wanted.select("filename", F.col("targets")[0].alias("region_id"), F.col("targets").alias("target_region_ids"))
         assets = ledger.fan_out(owned.join(got.select("filename", "status"), "filename")).join(got.select("filename", "path", "error"), "filename")
         for step in self.steps:
-            assets = step.process(assets)
+            # a region of which a file or an earlier step failed goes no further
+            stopped = assets.where("status = 'failed'").select("region_id").distinct()
+            going = boxes.join(stopped, "region_id", "left_anti")
+            done = step.process(assets.join(stopped, "region_id", "left_anti"), going)
+            assets = assets.join(stopped, "region_id", "left_semi").select(*done.columns).unionByName(done)
         ready = assets.groupBy("region_id").agg(F.count_if(F.col("status") == "failed").alias("failed"), F.count(F.lit(1)).alias("files"))
-        states = boxes.select("region_id").join(ready, "region_id", "left")
-        return assets, states.select("region_id", F.coalesce("files", F.lit(0)).alias("files"), F.when(F.col("files").isNull(), "unavailable").when(F.col("failed") > 0, "failed").otherwise("complete").alias("state"))
+        there = boxes.select("region_id", F.lit(True).alias("pending"))
+        states = every.select("region_id").join(there, "region_id", "left").join(ready, "region_id", "left")
+        state = F.when(F.col("pending").isNull(), "existing").when(F.col("files").isNull(), "unavailable").when(F.col("failed") > 0, "failed").otherwise("complete")
+        return assets, states.select("region_id", F.coalesce("files", F.lit(0)).alias("files"), state.alias("state"))
+
+    def pending(self, spark: SparkSession, boxes: DataFrame, workspace: str) -> DataFrame:
+        """Regions that lack the last file of some step; those that have all are not planned again."""
+        steps = [s for s in self.steps if s.expected("x") is not None]
+        if not steps or self.overwrite:
+            return boxes
+        last = steps[-1]
+
+        def lacking(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                yield frame[[not os.path.exists(last.expected(r)) for r in frame["region_id"]]]
+
+        return boxes.mapInPandas(lacking, boxes.schema)
 
 
 def from_settings(tree: settings.Tree) -> tuple[RegionSource, list[Pipeline]]:

@@ -6,7 +6,7 @@ import os
 import shutil
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -61,6 +61,15 @@ def _publish(archive: zipfile.ZipFile, chosen: list[tuple[str, str]], folder: st
                 os.remove(part)
 
 
+def unpack(path: str, folder: str, choose: Callable[[list[str]], list[tuple[str, str]]]) -> str:
+    """One archive: publishes the members that choose names, and gives the path of the last. A broken one is an error."""
+    try:
+        with zipfile.ZipFile(path) as archive:
+            return _publish(archive, choose(archive.namelist()), folder)
+    except zipfile.BadZipFile as broken:
+        raise ValueError(f"{path} is no archive") from broken
+
+
 def extract(archives: DataFrame, folder: str, kind: str = "elevation", suffix: str = "copdem", primary: str = ".tif", sidecars: tuple[str, ...] = ()) -> DataFrame:
     """(key, archive, path, error) of a frame (key, archive): kind elevation publishes <key>_<suffix>, kind sheet <key><primary>.
 

@@ -7,6 +7,7 @@ Compressed LAZ files need a decompressor that is not here and are refused by nam
 from __future__ import annotations
 
 import glob
+import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,22 +29,66 @@ class Header:
     scale: tuple[float, float, float]
     shift: tuple[float, float, float]
     bounds: tuple[float, float, float, float]
+    packed: bool
+    epsg: int | None
+
+
+def _key_code(raw: bytes) -> int | None:
+    """The code of a directory of GeoTIFF keys: that of a projected system, else of a geographic one."""
+    found = {}
+    for k in range(min(struct.unpack_from("<H", raw, 6)[0], (len(raw) - 8) // 8) if len(raw) >= 8 else 0):
+        key, place, _, value = struct.unpack_from("<4H", raw, 8 + 8 * k)
+        if place == 0:
+            found[key] = value
+    code = found.get(3072) or found.get(2048)
+    return code if code and code != 32767 else None
+
+
+def _text_code(raw: bytes) -> int | None:
+    """The code of the horizontal part of a system's text: the last one before a vertical part begins."""
+    text = raw.split(b"\0")[0].decode("utf-8", "replace")
+    for vertical in ("VERT_CS", "VERTCRS", "VERTICALCRS"):
+        text = text.split(vertical)[0]
+    codes = re.findall(r"""(?:AUTHORITY|ID)\["EPSG",\s*"?(\d+)"?\]""", text)
+    return int(codes[-1]) if codes else None
+
+
+def parse_header(raw: bytes, name: str = "the file") -> Header:
+    """From the first bytes of a point cloud, packed or not; the code is null where the records that hold it are not among them."""
+    if raw[:4] != b"LASF" or len(raw) < 227:
+        raise ValueError(f"{name} is no LAS file")
+    minor, size = raw[25], struct.unpack_from("<H", raw, 94)[0]
+    offset, records, kind, length, count = struct.unpack_from("<IIBHI", raw, 96)
+    if minor >= 4 and size >= 375 and len(raw) >= 255:
+        count = struct.unpack_from("<Q", raw, 247)[0]
+    scale, shift = struct.unpack_from("<3d", raw, 131), struct.unpack_from("<3d", raw, 155)
+    maxx, minx, maxy, miny = struct.unpack_from("<4d", raw, 179)
+    at, epsg = size, None
+    for _ in range(records):
+        if at + 54 > len(raw):
+            break
+        user, record, long = raw[at + 2 : at + 18].rstrip(b"\0"), *struct.unpack_from("<HH", raw, at + 18)
+        body = raw[at + 54 : at + 54 + long]
+        if user == b"LASF_Projection" and len(body) == long:
+            epsg = _text_code(body) or epsg if record == 2112 else epsg or _key_code(body) if record == 34735 else epsg
+        at += 54 + long
+    return Header(offset, kind & 63, length, count, scale, shift, (minx, miny, maxx, maxy), bool(kind & 128) or name.lower().endswith(".laz"), epsg)
 
 
 def read_header(path: str) -> Header:
     with open(path, "rb") as f:
         raw = f.read(375)
-    if raw[:4] != b"LASF":
-        raise ValueError(f"{path} is no LAS file")
-    minor, size = raw[25], struct.unpack_from("<H", raw, 94)[0]
-    offset, _, kind, length, count = struct.unpack_from("<IIBHI", raw, 96)
-    if kind & 128 or path.lower().endswith(".laz"):
-        raise ValueError(f"{path} is compressed; only LAS is read")
-    if minor >= 4 and size >= 375:
-        count = struct.unpack_from("<Q", raw, 247)[0]
-    scale, shift = struct.unpack_from("<3d", raw, 131), struct.unpack_from("<3d", raw, 155)
-    maxx, minx, maxy, miny = struct.unpack_from("<4d", raw, 179)
-    return Header(offset, kind, length, count, scale, shift, (minx, miny, maxx, maxy))
+        raw += f.read(max(0, struct.unpack_from("<I", raw, 96)[0] - 375)) if len(raw) >= 100 else b""
+    return parse_header(raw, path)
+
+
+def system_of(header: Header, fallback: str | None = None) -> str:
+    """The system that a header names, else the one that a rule gives; none is an error."""
+    if header.epsg:
+        return f"EPSG:{header.epsg}"
+    if fallback:
+        return fallback
+    raise ValueError("neither the header nor a rule names a coordinate system")
 
 
 def write_las(path: str, x: np.ndarray, y: np.ndarray, z: np.ndarray, classification: np.ndarray, scale: float = 0.001) -> None:
@@ -60,6 +105,17 @@ def write_las(path: str, x: np.ndarray, y: np.ndarray, z: np.ndarray, classifica
         f.write(head + rows.tobytes())
 
 
+def read_points(path: str, head: Header, first: int, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """x, y, z and class of a run of points, read with one seek."""
+    class_at = 16 if head.format >= 6 else 15
+    kind = np.dtype({"names": ["p", "c"], "formats": [("<i4", 3), "u1"], "offsets": [0, class_at], "itemsize": head.length})
+    with open(path, "rb") as f:
+        f.seek(head.offset + first * head.length)
+        rows = np.frombuffer(f.read(count * head.length), kind)
+    x, y, z = (rows["p"][:, k] * head.scale[k] + head.shift[k] for k in range(3))
+    return x, y, z, rows["c"] & (31 if head.format < 6 else 255)
+
+
 @dataclass
 class Run(InputPartition):
     path: str
@@ -73,20 +129,16 @@ class LasReader(DataSourceReader):
         self.size = int(options.get("pointsPerPartition", POINTS_A_PARTITION))
 
     def partitions(self) -> list[Run]:
-        return [Run(p, at, min(self.size, n - at)) for p in self.paths for n in [read_header(p).count] for at in range(0, n, self.size)] or [Run("", 0, 0)]
+        heads = [(p, read_header(p)) for p in self.paths]
+        if packed := [p for p, head in heads if head.packed]:
+            raise ValueError(f"{packed[0]} is compressed; only LAS is read")
+        return [Run(p, at, min(self.size, head.count - at)) for p, head in heads for at in range(0, head.count, self.size)] or [Run("", 0, 0)]
 
     def read(self, run: Run) -> Iterator[pa.RecordBatch]:
         if not run.count:
             return
-        head = read_header(run.path)
-        class_at = 16 if head.format >= 6 else 15
-        kind = np.dtype({"names": ["p", "c"], "formats": [("<i4", 3), "u1"], "offsets": [0, class_at], "itemsize": head.length})
-        with open(run.path, "rb") as f:
-            f.seek(head.offset + run.first * head.length)
-            rows = np.frombuffer(f.read(run.count * head.length), kind)
-        x, y, z = (rows["p"][:, k] * head.scale[k] + head.shift[k] for k in range(3))
-        classes = rows["c"] & (31 if head.format < 6 else 255)
-        name = pa.array([run.path.rpartition("/")[2]] * len(rows), pa.string())
+        x, y, z, classes = read_points(run.path, read_header(run.path), run.first, run.count)
+        name = pa.array([run.path.rpartition("/")[2]] * len(x), pa.string())
         yield pa.RecordBatch.from_arrays([name, pa.array(x), pa.array(y), pa.array(z), pa.array(classes.astype(np.int16))], names=["file_id", "x", "y", "z", "classification"])
 
 
