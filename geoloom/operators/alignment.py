@@ -20,8 +20,6 @@ from geoloom.operators import boxes, rasters
 
 AFFINE = ("a", "b", "c", "d", "e", "f")
 GRID = (*AFFINE, "width", "height", "crs")
-#: Cells along a side of the blocks by which cells and windows meet.
-BLOCK = 64
 
 
 def forward(prefix: str, col: Column, row: Column) -> tuple[Column, Column]:
@@ -164,20 +162,7 @@ def _by_kernel(asked: DataFrame, cells: DataFrame, method: str) -> DataFrame:
 
 def native_crop(pairs: DataFrame, cells: DataFrame) -> DataFrame:
     """(region_id, raster_id, row, col, value): the source's own cells on native_grid's window of each pair."""
-    return window_cells(cells, native_grid(pairs).select("region_id", "raster_id", F.col("row0").cast("long"), F.col("col0").cast("long"), F.col("out_height").alias("height"), F.col("out_width").alias("width")))
-
-
-def window_cells(cells: DataFrame, windows: DataFrame) -> DataFrame:
-    """Cells of windows (raster_id, row0, col0, height, width and other columns) by their place in the window. Both sides meet by blocks of
-    BLOCK cells, so a window meets the cells near it and not all of its raster."""
-    block = lambda low, high: F.explode(F.sequence(F.floor(F.col(low) / BLOCK), F.floor((F.col(low) + F.col(high) - 1) / BLOCK)))
-    spread = windows.where("height > 0 and width > 0").withColumn("_br", block("row0", "height")).withColumn("_bc", block("col0", "width"))
-    keyed = cells.withColumn("_br", F.floor(F.col("row") / BLOCK)).withColumn("_bc", F.floor(F.col("col") / BLOCK))
-    joined = keyed.join(spread, ["raster_id", "_br", "_bc"])
-    row, col = F.col("row") - F.col("row0"), F.col("col") - F.col("col0")
-    inside = (row >= 0) & (col >= 0) & (row < F.col("height")) & (col < F.col("width"))
-    rest = [c for c in windows.columns if c not in ("row0", "col0", "height", "width")]
-    return joined.where(inside).select(*rest, row.alias("row"), col.alias("col"), "value")
+    return rasters.window_cells(cells, native_grid(pairs).select("region_id", "raster_id", F.col("row0").cast("long"), F.col("col0").cast("long"), F.col("out_height").alias("height"), F.col("out_width").alias("width")))
 
 
 # Windows about points
@@ -284,7 +269,7 @@ def fit_of_sources(windows: DataFrame, sources: DataFrame, max_snap: float = 0.0
 def native_mosaic(fitted: DataFrame, cells: DataFrame) -> DataFrame:
     """(point_id, row, col, value, source_path): cells of native sources, copied; the first source in order that has a value wins."""
     windows = fitted.where("fit = 'native'").select("point_id", F.col("source_id").alias("raster_id"), "source_path", "order", F.col("shift_row").alias("row0"), F.col("shift_col").alias("col0"), "height", "width")
-    got = window_cells(cells.where("value is not null"), windows)
+    got = rasters.window_cells(cells.where("value is not null"), windows)
     return got.groupBy("point_id", "row", "col").agg(F.min_by(F.struct("value", "source_path"), "order").alias("_v")).select("point_id", "row", "col", "_v.*")
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 REDUCERS = ("nearest", "average", "min", "max", "med", "q1", "q3", "sum", "rms", "mode")
 KERNELS = {"bilinear": 1, "cubic": 2, "cubic_spline": 2, "lanczos": 3}
+#: Cells along a side of the blocks by which cells and windows meet.
+BLOCK = 64
 
 
 def valid(value: Column, nodata: float | None = None) -> Column:
@@ -83,6 +85,12 @@ def fill_stats(filled: DataFrame) -> DataFrame:
     return out.withColumn("share", F.col("n_filled") / F.col("total"))
 
 
+def fill_summary(filled: DataFrame, group: str) -> DataFrame:
+    """Per group of rasters: the mean of their shares filled, each raster counting once, and the share of all their cells."""
+    each = filled.groupBy(group, "raster_id").agg(F.count("*").alias("total"), F.count_if("filled").alias("n_filled"))
+    return each.groupBy(group).agg(F.count("*").alias("rasters"), F.avg(F.col("n_filled") / F.col("total")).alias("mean_share"), (F.sum("n_filled") / F.sum("total")).alias("overall_share"))
+
+
 def point_window(origin: float, resolution: Column, size: float, at: Column) -> tuple[Column, Column]:
     """First cell and cells of a window of size about a point along an axis; both rounded half to even, one cell at least."""
     width = F.greatest(F.lit(1.0), F.rint(F.lit(size) / resolution))
@@ -90,11 +98,16 @@ def point_window(origin: float, resolution: Column, size: float, at: Column) ->
 
 
 def window_cells(cells: DataFrame, windows: DataFrame) -> DataFrame:
-    """Cells of each window (window_id, raster_id, row0, col0, height, width) by their place in the window."""
-    joined = cells.join(windows, "raster_id")
+    """Cells of windows (raster_id, row0, col0, height, width and other columns) by their place in the window. Both sides meet by blocks of
+    BLOCK cells, so a window meets the cells near it and not all of its raster."""
+    block = lambda low, high: F.explode(F.sequence(F.floor(F.col(low) / BLOCK), F.floor((F.col(low) + F.col(high) - 1) / BLOCK)))
+    spread = windows.where("height > 0 and width > 0").withColumn("_br", block("row0", "height")).withColumn("_bc", block("col0", "width"))
+    keyed = cells.withColumn("_br", F.floor(F.col("row") / BLOCK)).withColumn("_bc", F.floor(F.col("col") / BLOCK))
+    joined = keyed.join(spread, ["raster_id", "_br", "_bc"])
     row, col = F.col("row") - F.col("row0"), F.col("col") - F.col("col0")
     inside = (row >= 0) & (col >= 0) & (row < F.col("height")) & (col < F.col("width"))
-    return joined.where(inside).select("window_id", row.alias("row"), col.alias("col"), "value")
+    rest = [c for c in windows.columns if c not in ("row0", "col0", "height", "width")]
+    return joined.where(inside).select(*rest, row.alias("row"), col.alias("col"), "value")
 
 
 def valid_fraction(cells: DataFrame, windows: DataFrame, least: float = 1.0) -> DataFrame:
@@ -105,12 +118,6 @@ def valid_fraction(cells: DataFrame, windows: DataFrame, least: float = 1.0) ->
     return out.select("window_id", share.alias("fraction"), (share >= least - 1e-12).alias("enough"))
 
 
-def anchor_raster(points: DataFrame, rasters: DataFrame) -> DataFrame:
-    """For each point the raster around it with the widest margin, of equals the greatest path. Joined on tile cells beforehand or bounded rasters."""
-    margin = F.least(F.col("px") - F.col("minx"), F.col("maxx") - F.col("px"), F.col("py") - F.col("miny"), F.col("maxy") - F.col("py"))
-    return points.join(rasters, (F.col("px") >= F.col("minx")) & (F.col("px") <= F.col("maxx")) & (F.col("py") >= F.col("miny")) & (F.col("py") <= F.col("maxy"))).groupBy("point_id").agg(F.max_by("path", F.struct(margin, F.col("path"))).alias("path"), F.max(margin).alias("margin"))
-
-
 def capped_fill(offers: DataFrame, least: float, cap: float) -> DataFrame:
     """Which sources fill a window, in order: one that would lift the resampled share over cap is skipped, and filling
     ends once the share of valid cells is enough. offers: (window_id, rank, cells array<int>, native array<int>, total).

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from geoloom.functions import text
 from geoloom.operators import alignment, boxes, planning, runstate
 from geoloom.plans.catalogue import query, rounded, table
-from geoloom.sources import portals, units
+from geoloom.sources import catalogs, portals, regions, units
 
 # Rasters: three sources of 48 by 40 cells, shifted against each other, and a target that lies across them
 
@@ -311,3 +311,58 @@ def _(spark, sf_dir, names):
 def _(spark, sf_dir, names):
     top = names.orderBy("a", "k").limit(100).withColumn("_all", F.lit(1))
     return planning.batches(top.withColumn("_key", F.concat("a", F.lpad(F.col("k").cast("string"), 12, "0"))), "_key", 1, "_all").select("k", (F.col("batch") + 1).alias("n"))
+
+
+# Published catalogues, as documents made from the tables
+
+
+@query("s12_item_links", "SELECT DISTINCT concat('https://h/c', n_regionkey, '/index.json') AS collection_url, concat('https://h/c', n_regionkey, '/items/', n_nationkey % 4, '.json') AS item_url FROM nation")
+def _(spark, sf_dir):
+    link = F.struct(F.lit("item").alias("rel"), F.concat(F.lit("./items/"), (F.col("n_nationkey") % 4).cast("string"), F.lit(".json")).alias("href"))
+    own = table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.to_json(F.struct(F.concat(F.collect_list(link), F.array(F.struct(F.lit("self").alias("rel"), F.lit("x").alias("href")))).alias("links"))).alias("document"))
+    return catalogs.stac_item_links(own.select(F.concat(F.lit("https://h/c"), "n_regionkey", F.lit("/index.json")).alias("url"), "document"))
+
+
+# items of customers: the visual asset is a TIFF for even keys, else another asset is
+_ITEM = """concat('{"id": " c', cast(c_custkey as string), ' ", "bbox": [', cast(c_custkey % 100 as string), ', 1, ', cast(c_custkey % 100 + 2 as string), ', 3], "geometry": {"type": "Polygon", "coordinates": []}, "properties": {', case when c_custkey % 3 = 0 then '"start_datetime": "2020", ' else '' end, '"datetime": "2019"}, "assets": {"a": {"href": "./a.json", "type": "application/json"}, "b": {"href": "./b.TIF?x", "type": ""}, "visual": {"href": "./v', cast(c_custkey as string), case when c_custkey % 2 = 0 then '.tiff' else '.png' end, '", "file:checksum": "k"}}}')"""
+
+
+@query("s13_items", "SELECT concat('c', c_custkey) AS tile_id, (c_custkey % 100)::double AS minx, (c_custkey % 100 + 2)::double AS maxx, CASE WHEN c_custkey % 2 = 0 THEN concat('https://h/i/v', c_custkey, '.tiff') ELSE 'https://h/i/b.TIF?x' END AS url, CASE WHEN c_custkey % 3 = 0 THEN '2020' ELSE '2019' END AS start_datetime, '2019' AS end_datetime, CASE WHEN c_custkey % 2 = 0 THEN 'k' END AS checksum FROM customer")
+def _(spark, sf_dir):
+    items = table(spark, sf_dir, "customer").select(F.concat(F.lit("https://h/i/"), "c_custkey", F.lit(".json")).alias("item_url"), F.expr(_ITEM).alias("document"))
+    return catalogs.stac_items(items).select("tile_id", "minx", "maxx", "url", "start_datetime", "end_datetime", "checksum")
+
+
+@query("s20_latest_products", "WITH p AS (SELECT s_suppkey AS k, concat('id', j) AS id, CASE WHEN j % 4 = 3 THEN -1 ELSE 2010 + (s_suppkey * j) % 5 END AS y, CASE WHEN j % 4 = 3 THEN -1 ELSE j % 2 END AS n FROM supplier, range(6) r(j)) SELECT k, arg_min(id, (-y, -n, id)) AS product_id FROM p GROUP BY k")
+def _(spark, sf_dir):
+    version = "case when j % 4 = 3 then 'odd' else concat('x/', cast(2010 + (s_suppkey * j) % 5 as string), '_', cast(j % 2 as string)) end"
+    one = f"struct(concat('id', cast(j as string)) as Id, array(struct('other' as Name, 'x' as Value), struct('dataset' as Name, {version} as Value)) as Attributes)"
+    searches = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.expr(f"to_json(struct(transform(sequence(0L, 5L), j -> {one}) as value))").alias("document"))
+    return catalogs.latest_products(searches, "k")
+
+
+@query("s21_releases", "SELECT n_nationkey::varchar AS version, make_date(2015, 1 + n_nationkey % 12, 1 + n_nationkey) AS date FROM nation WHERE n_nationkey % 5 <> 0")
+def _(spark, sf_dir):
+    title = "case when n_nationkey % 5 = 0 then 'no date' else concat('World (', cast(make_date(2015, cast(1 + n_nationkey % 12 as int), cast(1 + n_nationkey as int)) as string), ')') end"
+    entry = F.struct(F.col("n_nationkey").cast("string").alias("key"), F.expr(f"named_struct('itemTitle', {title})").alias("value"))
+    document = table(spark, sf_dir, "nation").agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("document"))
+    return catalogs.releases(document)
+
+
+@query("s30_audits", "SELECT concat('l', o_custkey % 40) AS lpc_link, concat('w', o_orderkey % 7) AS workunit, count(DISTINCT concat('S', o_custkey % 3, '__', o_custkey)) AS targets FROM orders GROUP BY 1, 2")
+def _(spark, sf_dir):
+    target = F.struct(F.concat(F.lit("S"), (F.col("o_custkey") % 3).cast("string"), F.lit("__"), F.col("o_custkey").cast("string")).alias("region_id"))
+    unit = F.struct(F.concat(F.lit("w"), (F.col("o_orderkey") % 7).cast("string")).alias("workunit"), F.concat(F.lit("l"), (F.col("o_custkey") % 40).cast("string")).alias("lpc_link"), F.array(target).alias("targets"))
+    documents = table(spark, sf_dir, "orders").groupBy((F.col("o_orderkey") % 50).alias("d")).agg(F.to_json(F.collect_list(unit)).alias("document"))
+    return catalogs.audits(documents).select("lpc_link", "workunit", F.size("targets").cast("long").alias("targets"))
+
+
+@query("m21_point_squares", "SELECT c_custkey AS region_id, c_custkey * 10.0 - 250 AS minx, 4000000.0 + c_custkey - 250 AS miny, c_custkey * 10.0 + 250 AS maxx, 4000000.0 + c_custkey + 250 AS maxy FROM customer")
+def _(spark, sf_dir):
+    points = table(spark, sf_dir, "customer").selectExpr("c_custkey AS region_id", "c_custkey * 10D AS x", "4000000D + c_custkey AS y")
+    return regions.point_regions(points, ZONE, 500.0).select("region_id", *boxes.SIDES)
+
+
+@query("a21_batch_envelopes", "SELECT state, min(minx) AS minx, min(miny) AS miny, max(maxx) AS maxx, max(maxy) AS maxy, count(*) AS regions FROM {regions} GROUP BY state", "regions")
+def _(spark, sf_dir, places):
+    return regions.batch_envelopes(places, "state")

@@ -11,6 +11,7 @@ from geoloom.functions import filenames, grids, text
 from geoloom.operators import boxes, ledger, naming, planning, points, rasters
 from geoloom.plans import names
 from geoloom.plans.fixtures import FIXTURES, fixture, fixture_sql
+from geoloom.sources import regions as regions_source
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -414,11 +415,6 @@ def _(spark, sf_dir):
     return planning.priority_subset(rows, "g", "r", "targets")
 
 
-@query("s12_distinct_links", "SELECT l_suppkey, count(DISTINCT l_partkey) AS items, list_sort(list_distinct(list(l_returnflag))) AS flags FROM lineitem GROUP BY l_suppkey")
-def _(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.count_distinct("l_partkey").alias("items"), F.array_sort(F.collect_set("l_returnflag")).alias("flags"))
-
-
 @query("a25_unique_ids", "SELECT c_name, count(*) AS n FROM customer GROUP BY c_name HAVING count(*) > 1 UNION ALL SELECT c_mktsegment, count(*) FROM customer GROUP BY c_mktsegment HAVING count(*) > 1")
 def _(spark, sf_dir):
     customers = table(spark, sf_dir, "customer")
@@ -429,8 +425,8 @@ def _(spark, sf_dir):
 @query("f05_attribute_whitelist", "SELECT p_partkey FROM part WHERE trim(p_size::varchar) IN ('1', '2', '3') AND trim(p_brand) IN (SELECT min(p_brand) FROM part UNION ALL SELECT max(p_brand) FROM part)")
 def _(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    wanted = part.agg(F.min("p_brand").alias("b")).union(part.agg(F.max("p_brand")))
-    return part.where(F.trim(F.col("p_size").cast("string")).isin("1", "2", "3")).withColumn("b", F.trim("p_brand")).join(wanted, "b", "left_semi").select("p_partkey")
+    ends = part.agg(F.min("p_brand"), F.max("p_brand")).first()
+    return regions_source.included(part, {"p_size": [1, " 2 ", "3"], "p_brand": [f" {b}" for b in ends]}).select("p_partkey")
 
 
 @query("f07_impossible_degrees", "SELECT c_nationkey, max(abs(maxx)) <= 180 AND max(abs(maxy)) <= 90 AS possible, min(minx) AS minx, max(maxx) AS maxx, min(miny) AS miny, max(maxy) AS maxy FROM {places} JOIN customer ON region_id = c_custkey GROUP BY c_nationkey", "places")
@@ -537,7 +533,7 @@ def _(spark, sf_dir):
 @query("j08_missing_in_catalogue", "SELECT p.p_partkey, 'not in catalogue' AS error FROM part p LEFT JOIN lineitem l ON p.p_partkey = l.l_partkey AND l.l_quantity > 45 WHERE l.l_partkey IS NULL")
 def _(spark, sf_dir):
     listed = table(spark, sf_dir, "lineitem").where("l_quantity > 45").select(F.col("l_partkey").alias("p_partkey"))
-    return table(spark, sf_dir, "part").select("p_partkey").join(listed, "p_partkey", "left_anti").withColumn("error", F.lit("not in catalogue"))
+    return ledger.missing_outputs(table(spark, sf_dir, "part").select("p_partkey"), listed, ["p_partkey"]).withColumn("error", F.lit("not in catalogue"))
 
 
 @query("j12_region_lookup", "SELECT n_name, r_name, count(*) AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY n_name, r_name")
@@ -606,6 +602,12 @@ def _(spark, sf_dir, cells):
     return rasters.fill_stats(_filled(cells)).withColumn("share", rounded("share"))
 
 
+@query("a20_fill_summary", 'WITH f AS (SELECT raster_id % 2 AS folder, raster_id, "row" % 3 = 0 AND value IS NOT NULL AS filled FROM {cells}), r AS (SELECT folder, raster_id, count(*) AS total, count(*) FILTER (filled) AS n FROM f GROUP BY ALL) SELECT folder, count(*) AS rasters, round(avg(n / total), 6) AS mean_share, round(sum(n) / sum(total), 6) AS overall_share FROM r GROUP BY folder', "cells")
+def _(spark, sf_dir, cells):
+    filled = cells.select((F.col("raster_id") % 2).alias("folder"), "raster_id", ((F.col("row") % 3 == 0) & F.col("value").isNotNull()).alias("filled"))
+    return rasters.fill_summary(filled, "folder").select("folder", "rasters", rounded("mean_share").alias("mean_share"), rounded("overall_share").alias("overall_share"))
+
+
 _WINDOWS = "(SELECT c_custkey AS window_id, cast(c_custkey % 3 as int) AS raster_id, cast(round_even((c_custkey * 7) % 40 / 1.0 - round_even(8 / 1.0, 0) / 2, 0) as int) AS row0, cast(round_even((c_custkey * 5) % 30 / 1.0 - round_even(8 / 1.0, 0) / 2, 0) as int) AS col0, 8 AS height, 8 AS width FROM customer)"
 
 
@@ -618,7 +620,7 @@ def _windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("r04_native_window", f'SELECT window_id, "row" - row0 AS "row", col - col0 AS col, value FROM {_VALUES} JOIN {_WINDOWS} w USING (raster_id) WHERE "row" >= row0 AND col >= col0 AND "row" < row0 + 8 AND col < col0 + 8', "cells")
 def _(spark, sf_dir, cells):
-    return rasters.window_cells(_cells(cells), _windows(spark, sf_dir))
+    return rasters.window_cells(_cells(cells), _windows(spark, sf_dir).drop("ordinal")).select("window_id", "row", "col", "value")
 
 
 @query("a16_valid_fraction", f'WITH v AS (SELECT window_id, count(value) AS n FROM {_VALUES} JOIN {_WINDOWS} w USING (raster_id) WHERE "row" >= row0 AND col >= col0 AND "row" < row0 + 8 AND col < col0 + 8 GROUP BY window_id) SELECT w.window_id, round(coalesce(n, 0) / 64, 6) AS fraction, coalesce(n, 0) / 64 >= 0.5 - 1e-12 AS enough FROM {_WINDOWS} w LEFT JOIN v USING (window_id)', "cells")
