@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.functions import text
-from geoloom.operators import alignment, boxes, planning, runstate
+from geoloom.functions import crs, text
+from geoloom.operators import alignment, assets, boxes, planning, runstate
 from geoloom.plans.catalogue import query, rounded, table
 from geoloom.sources import catalogs, portals, regions, units
 
@@ -366,3 +366,74 @@ def _(spark, sf_dir):
 @query("a21_batch_envelopes", "SELECT state, min(minx) AS minx, min(miny) AS miny, max(maxx) AS maxx, max(maxy) AS maxy, count(*) AS regions FROM {regions} GROUP BY state", "regions")
 def _(spark, sf_dir, places):
     return regions.batch_envelopes(places, "state")
+
+
+# Assets, names and addresses
+
+
+@query("f10_selected_assets", "SELECT p_partkey FROM part WHERE p_size % 4 = 2 AND p_size % 3 IN (0, 1)")
+def _(spark, sf_dir):
+    kinds, products = (F.element_at(F.array(*map(F.lit, names)), (at + 1).cast("int")) for names, at in ((assets.KINDS, F.col("p_size") % 4), (("dem", "dsm", "dtm"), F.col("p_size") % 3)))
+    rows = table(spark, sf_dir, "part").select("p_partkey", kinds.alias("kind"), products.alias("product"))
+    checked = rows.withColumn("kind", assets.known(F.col("kind"), assets.KINDS, "kind")).withColumn("product", assets.product_name(F.col("product")))
+    return assets.selected(checked, ["dem", "dsm"]).select("p_partkey")
+
+
+@query("f13_metadata", "SELECT p_partkey, p_type AS workunit, CASE WHEN p_size % 2 = 0 THEN p_brand END AS project, CASE WHEN p_size % 2 = 0 THEN 2 ELSE 1 END AS facts FROM part")
+def _(spark, sf_dir):
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("workunit"), F.when(F.col("p_size") % 2 == 0, F.col("p_brand")).alias("project"))
+    told = assets.with_facts(rows, "clouds")
+    return told.select("p_partkey", F.col("metadata")["workunit"].alias("workunit"), F.col("metadata")["project"].alias("project"), F.size("metadata").alias("facts"))
+
+
+@query("c07_region_facts", "SELECT c_custkey AS region_id, c_custkey % 2 = 0 AS has_target, false AS has_point, c_custkey % 3 = 0 AS has_shape FROM customer")
+def _(spark, sf_dir):
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("region_id"), F.when(F.col("c_custkey") % 2 == 0, "x.tif").alias("target_path"), F.lit(1).alias("width"), F.lit(1).alias("height"), F.when(F.col("c_custkey") % 3 == 0, F.array(F.lit(1))).alias("polygons"))
+    return assets.target_grid(rows)
+
+
+@query("t11_late_regions", "SELECT o_custkey AS region_id, count(*) AS assets FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 6 = 0) AND o_custkey % 4 <> 0 GROUP BY o_custkey")
+def _(spark, sf_dir):
+    report = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("region_id"), F.when(F.col("o_orderkey") % 6 == 0, "failed").otherwise("success").alias("status"))
+    return assets.late_regions(report, report.where("region_id % 4 = 0"))
+
+
+@query("n51_cache_names", "SELECT k, concat('a_b', c, '_', md5(concat('https://h/a b', c, '/list.txt'))[1:8]) AS name FROM {names}", "names")
+def _(spark, sf_dir, names):
+    return names.select("k", text.cache_key(F.concat(F.lit("https://h/a b"), "c", F.lit("/list.txt"))).alias("name"))
+
+
+@query("n54_tile_addresses", "SELECT k, concat('https://h/', k % 9, '/', c, '/', d) AS url, concat('t_', substr(replace(make_date(2020, 1 + (k % 12)::int, 1 + (k % 28)::int)::varchar, '-', ''), 3, 6), '_z', k % 9, '_x', c, '_y', d, '.jpg') AS filename FROM {names}", "names")
+def _(spark, sf_dir, names):
+    day = F.make_date(F.lit(2020), (F.col("k") % 12 + 1).cast("int"), (F.col("k") % 28 + 1).cast("int")).cast("string")
+    z = (F.col("k") % 9).cast("string")
+    url = F.lit("https://h/{z}/{x}/{y}")
+    for mark, value in (("{z}", z), ("{x}", F.col("c")), ("{y}", F.col("d"))):
+        url = F.replace(url, F.lit(mark), value)
+    return names.select("k", url.alias("url"), F.concat(F.lit("t_"), text.date_tag(day), F.lit("_z"), z, F.lit("_x"), "c", F.lit("_y"), "d", F.lit(".jpg")).alias("filename"))
+
+
+@query("n56_iso_times", "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS said FROM events")
+def _(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", text.iso_seconds(F.col("ts")).alias("said"))
+
+
+@query("n59_sheet_codes", "SELECT k, k % 8 <> 7 AS valid FROM {names}", "names")
+def _(spark, sf_dir, names):
+    odd = F.when(F.col("k") % 8 == 7, F.concat(F.expr(_SHEET), F.lit("X"))).otherwise(F.expr(_SHEET))
+    return names.select("k", odd.rlike(portals.SHEET).alias("valid"))
+
+
+@query("o03_sorted_selection", "SELECT l_partkey % 100 AS tile, string_agg(DISTINCT concat('r', lpad(l_suppkey::varchar, 5, '0')), ',' ORDER BY concat('r', lpad(l_suppkey::varchar, 5, '0'))) AS regions FROM lineitem GROUP BY 1")
+def _(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select((F.col("l_partkey") % 100).alias("tile"), F.concat(F.lit("r"), F.lpad(F.col("l_suppkey").cast("string"), 5, "0")).alias("region_id"))
+    return rows.groupBy("tile").agg(F.array_join(F.array_sort(F.collect_set("region_id")), ",").alias("regions"))
+
+
+@query("m01_horizontal_parts", "SELECT n_nationkey, CASE n_nationkey % 3 WHEN 0 THEN 'EPSG:4326' WHEN 1 THEN 'EPSG:26918' ELSE 'EPSG:3857' END AS horizontal, CASE n_nationkey % 3 WHEN 0 THEN 'EGM2008 height (EPSG:3855)' WHEN 1 THEN 'NAVD88 height (EPSG:5703)' END AS vertical FROM nation")
+def _(spark, sf_dir):
+    parts = {c: (crs.horizontal(c), crs.vertical(c)) for c in ("EPSG:4326+3855", "EPSG:26918+5703", "EPSG:3857")}
+    code = F.element_at(F.array(*map(F.lit, parts)), (F.col("n_nationkey") % 3 + 1).cast("int"))
+    known = F.create_map(*(F.lit(v) for c, p in parts.items() for v in (c, p[0])))
+    upright = F.create_map(*(F.lit(v) for c, p in parts.items() for v in (c, p[1])))
+    return table(spark, sf_dir, "nation").select("n_nationkey", known[code].alias("horizontal"), upright[code].alias("vertical"))

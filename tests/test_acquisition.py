@@ -434,3 +434,23 @@ def test_dated_and_degree_tiles(spark):
     asked = []
     plan = ready.SearchedTiles(lambda f: asked.append(f) or found, "https://h/{product_id}").plan(boxes).first()
     assert plan["url"] == "https://h/a" and "N20E010" in asked[0] and "SAR_DGE_30_A4AD" in asked[0]
+
+
+def test_two_streams_fetch_and_process(spark, tmp_path, server):
+    from geoloom.streaming import acquire
+
+    root, url = server
+    for n in "abc":
+        (root / f"{n}.txt").write_text(n)
+    folder, out, seen = str(tmp_path / "work"), tmp_path / "files", []
+    rows = [("a.txt", f"{url}/a.txt", ["r1", "r2"], 1), ("b.txt", f"{url}/b.txt", ["r1"], 2), ("c.txt", f"{url}/c.txt", ["r3"], 3), ("d.txt", f"{url}/none.txt", ["r2"], 4)]
+    acquire.write_requests(spark.createDataFrame(rows, acquire.REQUESTS), folder, 1)
+    assert len([n for n in os.listdir(f"{folder}/requests") if n.startswith("part-")]) == 1
+    os.makedirs(f"{folder}/ended")
+    fetching = acquire.fetch_stream(spark, folder, str(out), 1, 0, 0.0)
+    fetching.processAllAvailable()
+    ready_ones = acquire.ready_stream(spark, folder, lambda batch: seen.extend(map(tuple, batch.collect())))
+    ready_ones.processAllAvailable()
+    fetching.stop()
+    ready_ones.stop()
+    assert sorted(seen) == [("r1", "ready", 2), ("r2", "failed", 1), ("r3", "ready", 1)] and sorted(os.listdir(out))[:3] == ["a.txt", "b.txt", "c.txt"]
