@@ -59,8 +59,22 @@ def _fans(rings: list[list[Point]]) -> Iterator[tuple[float, list[Point]]]:
                 yield (1 if k == 0 else -1) * turn * (1 if own > 0 else -1), fan if own > 0 else fan[::-1]
 
 
+def _as_box(rings: list[list[Point]]) -> tuple[float, float, float, float] | None:
+    """The sides of a polygon that is a box along the axes, null for others."""
+    if len(rings) != 1:
+        return None
+    ring = rings[0][:-1] if len(rings[0]) == 5 and rings[0][0] == rings[0][-1] else rings[0]
+    xs, ys = {p[0] for p in ring}, {p[1] for p in ring}
+    if len(ring) != 4 or len(xs) != 2 or len(ys) != 2 or len(set(ring)) != 4 or any((p[0] == q[0]) == (p[1] == q[1]) for p, q in zip(ring, ring[1:], strict=False)):
+        return None
+    return min(xs), min(ys), max(xs), max(ys)
+
+
 def intersection_area(a: list[list[Point]], b: list[list[Point]]) -> float:
     """Shared area of two polygons with holes, convex or not."""
+    p, q = _as_box(a), _as_box(b)
+    if p and q:
+        return max(0.0, min(p[2], q[2]) - max(p[0], q[0])) * max(0.0, min(p[3], q[3]) - max(p[1], q[1]))
     other = list(_fans(b))
     return sum(s * t * abs(signed_area(clip(p, q))) for s, p in _fans(a) for t, q in other)
 
@@ -82,3 +96,28 @@ def polygon_area(rings: pd.Series) -> pd.Series:
 def shared_area(a: pd.Series, b: pd.Series) -> pd.Series:
     """Area of the intersection of two columns of array<array<struct<x:double,y:double>>>."""
     return pd.Series(np.array([np.nan if x is None or y is None else intersection_area(_rings(x), _rings(y)) for x, y in zip(a, b, strict=True)]))
+
+
+def union_area(a: str, b: str):
+    """Area of what either of two polygon columns covers."""
+    return polygon_area(a) + polygon_area(b) - shared_area(a, b)
+
+
+def difference_area(a: str, b: str):
+    """Area of what the first of two polygon columns covers and the second does not."""
+    return polygon_area(a) - shared_area(a, b)
+
+
+def _coordinate(rings, axis: int):
+    return F.transform(F.flatten(rings), lambda p: p["x"] if axis == 0 else p["y"])
+
+
+def bounds(rings: str) -> list:
+    """minx, miny, maxx, maxy of a polygon column."""
+    r = F.col(rings)
+    return [F.array_min(_coordinate(r, 0)), F.array_min(_coordinate(r, 1)), F.array_max(_coordinate(r, 0)), F.array_max(_coordinate(r, 1))]
+
+
+@F.pandas_udf(T.StructType().add("x", T.DoubleType()).add("y", T.DoubleType()))
+def polygon_centroid(rings: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([(None, None) if r is None else centroid(_rings(r)) for r in rings], columns=["x", "y"], dtype=object)

@@ -64,21 +64,21 @@ def nearest_release(requests: DataFrame, releases: DataFrame, request: str, date
     """For each requested date the release nearest to it, of two the earlier.
 
     An as-of look-up on both sides: one union, sorted per partition by date, carries the last and the next release
-    along. Requests are dealt by year, each year with its neighbours' edge releases, so no task holds all dates.
+    along. Requests are dealt by month, each month with its neighbours' edge releases, so no task holds all dates.
     """
     marked = requests.select(request, F.col("wanted"), F.lit(None).cast("date").alias("r")).union(releases.select(F.lit(None).cast(requests.schema[request].dataType), F.col(date), F.col(date)))
-    year = F.year("wanted")
-    edges = releases.select(F.col(date).alias("d")).groupBy(F.year("d").alias("y")).agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
-    years = requests.select(F.year("wanted").alias("q")).distinct().join(edges, F.col("q") == F.col("y"), "full_outer").select(F.coalesce("q", "y").alias("q"), "lo", "hi")
-    by_year = Window.orderBy("q")  # as many rows as there are years
-    near = years.select("q", F.last("hi", ignorenulls=True).over(by_year.rowsBetween(Window.unboundedPreceding, -1)).alias("before_year"), F.first("lo", ignorenulls=True).over(by_year.rowsBetween(1, Window.unboundedFollowing)).alias("after_year"))
+    month = lambda c: F.year(c) * 12 + F.month(c)
+    edges = releases.select(F.col(date).alias("d")).groupBy(month("d").alias("y")).agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
+    months = requests.select(month("wanted").alias("q")).distinct().join(edges, F.col("q") == F.col("y"), "full_outer").select(F.coalesce("q", "y").alias("q"), "lo", "hi")
+    by_month = Window.orderBy("q")  # as many rows as there are months
+    near = months.select("q", F.last("hi", ignorenulls=True).over(by_month.rowsBetween(Window.unboundedPreceding, -1)).alias("before_month"), F.first("lo", ignorenulls=True).over(by_month.rowsBetween(1, Window.unboundedFollowing)).alias("after_month"))
     w = Window.partitionBy("q").orderBy("wanted", F.col("r").isNull())
-    both = marked.withColumn("q", year)
+    both = marked.withColumn("q", month("wanted"))
     last = F.last("r", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     back = Window.partitionBy("q").orderBy(F.desc("wanted"), F.col("r").isNull())  # a growing frame, where one up to the end would be read again for each row
     following = F.last("r", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, 0))
     found = both.withColumn("last", last).withColumn("following", following).where(F.col(request).isNotNull()).join(near, "q", "left")
-    before, after = F.coalesce("last", "before_year"), F.coalesce("following", "after_year")
+    before, after = F.coalesce("last", "before_month"), F.coalesce("following", "after_month")
     gap = lambda c: F.abs(F.datediff(c, F.col("wanted")))
     pick = F.when(after.isNull() | (gap(before) <= gap(after)), before).otherwise(after)
     return found.select(request, "wanted", pick.alias("release"))

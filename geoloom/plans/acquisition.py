@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.functions import crs, text
+from geoloom.functions import crs, polygons, text
 from geoloom.operators import alignment, assets, boxes, planning, runstate
 from geoloom.plans.catalogue import query, rounded, table
 from geoloom.sources import catalogs, portals, regions, units
@@ -437,3 +437,13 @@ def _(spark, sf_dir):
     known = F.create_map(*(F.lit(v) for c, p in parts.items() for v in (c, p[0])))
     upright = F.create_map(*(F.lit(v) for c, p in parts.items() for v in (c, p[1])))
     return table(spark, sf_dir, "nation").select("n_nationkey", known[code].alias("horizontal"), upright[code].alias("vertical"))
+
+
+# regions as triangles at their lower left corner against tiles as boxes that hold the corner's quarter
+@query("m25_polygon_kit", "WITH t AS (SELECT region_id, maxx - minx AS w, maxy - miny AS h, minx, miny FROM {regions}) SELECT region_id, round(w * h / 2 + w * h / 4 - w * h / 4, 6) AS union_area, round(w * h / 4, 6) AS difference_area, round(minx + w / 3, 6) AS cx, round(miny + h / 3, 6) AS cy, minx AS bx, miny + h AS top FROM t", "regions")
+def _(spark, sf_dir, places):
+    corner = lambda x, y: F.struct((F.col("minx") + x * (F.col("maxx") - F.col("minx"))).alias("x"), (F.col("miny") + y * (F.col("maxy") - F.col("miny"))).alias("y"))
+    shaped = places.withColumn("a", F.array(F.array(corner(0, 0), corner(1, 0), corner(0, 1)))).withColumn("b", F.array(F.array(corner(0, 0), corner(0.5, 0), corner(0.5, 0.5), corner(0, 0.5))))
+    found = shaped.withColumn("c", polygons.polygon_centroid("a"))
+    side = polygons.bounds("a")
+    return found.select("region_id", rounded(polygons.union_area("a", "b")).alias("union_area"), rounded(polygons.difference_area("a", "b")).alias("difference_area"), rounded(F.col("c.x")).alias("cx"), rounded(F.col("c.y")).alias("cy"), side[0].alias("bx"), side[3].alias("top"))
