@@ -24,8 +24,10 @@ def _step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iter
                 waiting.add(e.filename)
         elif e.kind == "closed":
             closed = True
+        elif e.filename in (failed if e.kind == "done" else done):
+            raise ValueError(f"file {e.filename} of region {key[0]} has come and failed")
         elif e.filename in done | failed:
-            raise ValueError(f"file {e.filename} of region {key[0]} is completed twice")
+            continue  # a batch that ran again
         else:
             waiting.discard(e.filename)
             (done if e.kind == "done" else failed).add(e.filename)
