@@ -9,7 +9,7 @@ import pytest
 import corpus_pipeline
 from geoloom.llm import pii
 from geoloom.llm.queries import QUERIES, tokenizer_path
-from tests.llm.test_operators import plain_matches
+from tests.llm.test_operators import joined, plain_matches
 
 SF = "/root/testdata/sf0.001"
 TRAINED = "/root/testdata/sf0.01"
@@ -99,10 +99,24 @@ def test_languages_of_held_out_documents(spark):
     assert right >= 0.98 and sum(rows[i]["rejected"] for i in held) <= 0.02 * len(held)
 
 
-def test_pipeline_runs_as_a_whole(spark, texts):
-    rows = corpus_pipeline.run(spark, SF).collect()
-    assert {r["doc_id"] for r in rows} <= set(texts) and len({r["doc_id"] for r in rows}) == len(rows) > 0.5 * len(texts)
-    assert all(len(r["ids"]) == r["n_tokens"] for r in rows)
+def test_pipeline_matches_brute_force_behind_the_learned_stage(spark):
+    from tokenizers import Tokenizer
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    left = [(r["doc_id"], r["text"]) for r in corpus_pipeline.language_id(spark, docs, SF).collect()]
+    first = {}
+    for i, text in sorted(left):
+        first.setdefault(re.sub("[A-Z]", lambda m: m[0].lower(), text), (i, text))
+    left = list(first.values())
+    least = joined(left)
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    left = [(i, t) for i, t in left if least[i] == i and not plain_matches(t, items)[1]]
+    library = Tokenizer.from_file(tokenizer_path(spark))
+    want = {}
+    for i, text in left:
+        ids = library.encode(text, add_special_tokens=False).ids
+        want[i] = (ids, len(ids), sha(library.decode(ids, skip_special_tokens=False)))
+    assert {r["doc_id"]: (list(r["ids"]), r["n_tokens"], r["decoded_sha256"]) for r in corpus_pipeline.run(spark, SF).collect()} == want and len(want) > 50
 
 
 @pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES])
