@@ -22,7 +22,6 @@ must be a table, or a plan that gives the same rows in the same order again.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
