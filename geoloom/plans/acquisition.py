@@ -235,9 +235,8 @@ def _(spark, sf_dir, names):
 
 @query("a07_units_of_regions", "SELECT r.tile_id % 40 AS unit, count(DISTINCT l.region_id) AS regions FROM {regions} l JOIN {tiles} r ON l.minx <= r.maxx AND r.minx <= l.maxx AND l.miny <= r.maxy AND r.miny <= l.maxy GROUP BY 1", "regions", "tiles")
 def _(spark, sf_dir, regions, tiles):
-    unit = tiles.select((F.col("tile_id") % 40).alias("unit"), (F.col("tile_id") % 40).cast("string").alias("workunit"), F.lit("l").alias("lpc_link"), F.lit("2020").alias("collect_end"), *boxes.SIDES)
-    found = units.ordered_units(units.units_of_regions(regions, unit, 64.0))
-    return found.select("unit", F.size("regions").cast("long").alias("regions"))
+    unit = tiles.select((F.col("tile_id") % 40).alias("unit"), *boxes.SIDES)
+    return units.unit_targets(regions, unit, 64.0)
 
 
 @query("c14_owned_requests", "SELECT concat('f', l_partkey % 500) AS filename, arg_min(concat('u', l_suppkey), (l_linenumber, concat('u', l_suppkey))) AS url, min(concat('r', l_suppkey)) AS region_id, count(DISTINCT concat('r', l_suppkey)) AS targets, count(DISTINCT concat('u', l_suppkey)) - 1 AS duplicates FROM lineitem GROUP BY 1")

@@ -106,11 +106,26 @@ def cloud_files(links: DataFrame) -> DataFrame:
     return once.withColumn("placeholder", F.coalesce(filenames.placeholder(F.col("filename")), F.lit(False)))
 
 
+def _kinds_met(regions: DataFrame, units: DataFrame, size: float) -> tuple[DataFrame, DataFrame]:
+    """(l_kind, unit columns): work units whose box touches one of a kind of regions; and the regions of each kind, as boxes.alike has them."""
+    kinds, listed = boxes.alike(boxes.prefixed(regions, "l_"))
+    rest = [c for c in units.columns if c not in boxes.SIDES]
+    met = boxes.box_join(kinds, boxes.prefixed(units.distinct(), "r_"), size, touch=True)
+    return met.select("l_kind", *(F.col(f"r_{c}").alias(c) for c in rest)).distinct(), listed
+
+
 def units_of_regions(regions: DataFrame, units: DataFrame, size: float) -> DataFrame:
     """(region_id, unit columns): work units whose box touches a region's; both in degrees, where the two usual datums count as one."""
-    met = boxes.box_join(boxes.prefixed(regions, "l_"), boxes.prefixed(units, "r_"), size, touch=True)
+    met, listed = _kinds_met(regions, units, size)
+    rest = [c for c in units.columns if c not in boxes.SIDES]
+    return met.join(listed, "l_kind").select(F.col("l_region_id").alias("region_id"), *rest)
+
+
+def unit_targets(regions: DataFrame, units: DataFrame, size: float) -> DataFrame:
+    """(unit columns, regions): how many regions the box of each work unit touches, without a list of them."""
+    met, listed = _kinds_met(regions, units, size)
     rest = [c for c in units.columns if c not in boxes.SIDES]
-    return met.select(F.col("l_region_id").alias("region_id"), *(F.col(f"r_{c}").alias(c) for c in rest)).distinct()
+    return met.join(listed.groupBy("l_kind").agg(F.count("l_region_id").alias("_n")), "l_kind").groupBy(*rest).agg(F.sum("_n").alias("regions"))
 
 
 def ordered_units(met: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from geoloom.functions import crs, grids, polygons
 from geoloom.operators import boxes, ledger, points, rasters
-from geoloom.sources import geotiff, las, regions
+from geoloom.sources import geotiff, las, regions, units
 from geoloom.streaming import ledger as stream
 
 
@@ -47,6 +47,42 @@ def test_coverage_equals_a_greedy_loop(spark):
     assert got == want
 
 
+def test_coverage_by_kinds_of_regions(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    sides = "minx double, miny double, maxx double, maxy double"
+    corners = rng.integers(0, 9, (16, 2))
+    drawn = [tuple(map(float, b)) for b in np.hstack([corners, corners + rng.integers(2, 6, (16, 2))]).tolist()]
+    areas, spots = drawn[:4], drawn[4:]
+    regions = [(k, *areas[k % 4]) for k in range(40)] + [(40, 90.0, 90.0, 91.0, 91.0), (41, *areas[0]), (41, *areas[1])]
+    tiles = [(k, *spots[k % 12], k // 12 + k % 3) for k in range(72)] + [(5, *spots[5], 2)]
+    left, right = boxes.prefixed(spark.createDataFrame(regions, f"region_id int, {sides}"), "l_"), boxes.prefixed(spark.createDataFrame(tiles, f"tile_id int, {sides}, rank int"), "r_")
+    plain = boxes.newest_first(boxes.box_join(left, right, 5.0).withColumn("rank", F.col("r_rank"))).where("l_region_id < 41").cache()
+    every = lambda frame, *names: sorted(tuple(r[n] for n in names) for r in frame.collect())
+    swept, sweep = [], boxes.newest_first
+    monkeypatch.setattr(boxes, "newest_first", lambda pairs, *a: swept.append(pairs.count()) or sweep(pairs, *a))
+    ones = left.where("l_region_id < 41")
+    columns = ("l_region_id", "r_tile_id", "rank", "new_area")
+    assert every(boxes.newest_tiles(ones, right, 5.0), *columns) == every(plain.where("selected"), *columns)
+    assert every(boxes.covered(ones, right, 5.0), "l_region_id", "ratio") == every(boxes.coverage(plain, ones), "l_region_id", "ratio")
+    closed = lambda frame: sorted(map(tuple, frame.collect()), key=str)
+    assert closed(boxes.closed_regions(ones, right, 5.0)) == closed(boxes.early_close(plain))
+    assert max(swept) <= 4 * 12  # kinds of regions by boxes of tiles
+    cells_of = [{(x, y) for x in range(int(a[0]), int(a[2])) for y in range(int(a[1]), int(a[3]))} for a in (*spots, areas[0], areas[1])]
+    union = len((cells_of[12] | cells_of[13]) & set().union(*cells_of[:12]))  # the boxes of one region count together
+    assert every(boxes.covered(left.where("l_region_id = 41"), right, 5.0), "covered") == [(float(union),)] * 2
+
+
+def test_units_meet_kinds_of_regions(spark, monkeypatch):
+    regions = spark.range(40).selectExpr("if(id = 3, null, id) AS region_id", "cast(id % 2 * 9 as double) AS minx", "0e0 AS miny", "2e0 + id % 2 * 9 AS maxx", "2e0 AS maxy")
+    work = spark.range(60).selectExpr("id % 4 AS unit", "2e0 + id % 4 AS minx", "2e0 AS miny", "9e0 AS maxx", "3e0 AS maxy")
+    met, join = [], boxes.box_join
+    monkeypatch.setattr(boxes, "box_join", lambda *a, **k: met.append(join(*a, **k).count()) or join(*a, **k))
+    got = sorted((str(r["region_id"]), r["unit"]) for r in units.units_of_regions(regions, work, 4.0).collect())
+    assert got == sorted((str(None if k == 3 else k), u) for k in range(40) for u in range(4) if k % 2 or u == 0)
+    assert sum(met) == 5  # two kinds of regions; one touches a unit, the other all four
+    assert sorted(tuple(r) for r in units.unit_targets(regions, work, 4.0).collect()) == [(0, 39), (1, 19), (2, 19), (3, 19)]
+
+
 def test_equal_boxes_are_compared_once(spark, monkeypatch):
     dealt, cells_of = [], boxes._cells
     monkeypatch.setattr(boxes, "_cells", lambda frame, *a: dealt.append(frame.count()) or cells_of(frame, *a))
