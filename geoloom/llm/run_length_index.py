@@ -24,37 +24,44 @@ class _Suffixes:
         sizes = np.diff(starts)
         self.size = n = int(starts[-1])
         self.text = np.frombuffer(b"".join(texts), np.uint8)
-        self.left = np.repeat(starts[1:], sizes) - np.arange(n)  # characters up to the text's end
+        self.left = (np.repeat(starts[1:], sizes) - np.arange(n)).astype(np.int32)  # characters up to the text's end
         self.code = np.zeros(n + PACKED, np.int64)
-        symbols = np.zeros(n + PACKED, np.int64)
-        symbols[:n] = self.text.astype(np.int64) + 1
+        symbols = np.zeros(n + PACKED, np.int16)
+        symbols[:n] = self.text
+        symbols[:n] += 1
         for k in range(PACKED):
-            self.code[:n] = self.code[:n] << 9 | np.where(self.left > k, symbols[k : k + n], 0)
+            self.code[:n] <<= 9
+            self.code[:n] |= np.where(self.left > k, symbols[k : k + n], np.int16(0))
         self.order = self._sort(int(sizes.max(initial=0)))
 
     def _sort(self, longest: int) -> np.ndarray:
+        """Places in order, in 32 bits; what a step no longer needs goes before the next array is made."""
         n, depth, key = self.size, PACKED, self.code[: self.size]
         while True:
-            order = np.argsort(key)
-            ranked = key[order]
-            new = np.concatenate([[True], ranked[1:] != ranked[:-1]]) if n else np.zeros(0, bool)
+            order = np.argsort(key).astype(np.int32)
+            key = key[order]
+            new = np.concatenate([[True], key[1:] != key[:-1]]) if n else np.zeros(0, bool)
+            del key
             if new.all():
                 return order
-            rank = np.empty(n, np.int64)
-            rank[order] = np.cumsum(new)
+            rank = np.empty(n, np.int32)
+            rank[order] = np.cumsum(new, dtype=np.int32)
+            del order, new
+            key = rank.astype(np.int64)
+            key *= n + 1
             if depth >= longest:  # what is equal now stands in order of place
-                return np.argsort(rank * (n + 1) + np.arange(n))
-            after = np.zeros(n, np.int64)
+                key += np.arange(n, dtype=np.int32)
+                return np.argsort(key).astype(np.int32)
             inside = np.flatnonzero(self.left > depth)
-            after[inside] = rank[inside + depth]
-            key = rank * (n + 1) + after
+            key[inside] += rank[inside + depth]
+            del rank, inside
             depth *= 2
 
     def transform(self, starts: np.ndarray) -> np.ndarray:
         """The character before each suffix, in order; each text's begin has a mark of its own."""
         first = np.zeros(self.size + 1, bool)
         first[starts] = True
-        return np.where(first[self.order], -1 - self.order, self.text[self.order - 1].astype(np.int64)) if self.size else self.order
+        return np.where(first[self.order], -1 - self.order, self.text[self.order - 1]) if self.size else self.order
 
     def shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Characters that the suffixes at a and b share from their begin."""
@@ -80,14 +87,16 @@ class RunLengthIndex:
         built = _Suffixes(texts, self.starts)
         before = built.transform(self.starts)
         edge = np.flatnonzero(np.concatenate([[True], before[1:] != before[:-1]])) if self.size else np.zeros(0, np.int64)
-        self.heads, self.lengths = before[edge], np.diff(np.concatenate([edge, [self.size]])) if self.size else edge
+        self.heads = before[edge].astype(np.int64)
+        del before
+        self.lengths = np.diff(np.concatenate([edge, [self.size]])) if self.size else edge
         self.above = self._samples(built, edge, -1)
         self.below = self._samples(built, edge + self.lengths - 1, 1)
 
     @staticmethod
     def _samples(built: _Suffixes, at: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
         """Of run ends, in order of place: the place of the suffix and where what it shares with the next run ends."""
-        places, other = built.order[at], at + step
+        places, other = built.order[at].astype(np.int64), at + step
         there = (other >= 0) & (other < built.size)
         shared = np.zeros(len(at), np.int64)
         shared[there] = built.shared(places[there], built.order[other[there]])

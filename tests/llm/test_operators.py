@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -461,3 +462,16 @@ def test_multi_megabyte_texts(spark):
     assert {r["doc_id"]: r["n_removed"] > 4_000_000 for r in suffix_dedup.suffix_dedup(frame).collect()} == {1: True, 2: True, 3: False, 4: False}
     assert {r["doc_id"]: len(r["ids"]) > 900_000 for r in bpe.encode(frame, tokenizer_path(spark)).collect()} == {1: True, 2: True, 3: False, 4: False}
     assert sum(r["kept"] for r in exact_dedup.exact_dedup(frame).collect()) == 4
+
+
+def test_the_index_takes_a_bounded_share_of_memory():
+    drawn = np.random.default_rng(4)
+    base = [bytes(drawn.integers(97, 123, 300, dtype=np.uint8)) for _ in range(175)]
+    texts = [t for b in base for t in (b, b[:200] + b"xx", b[50:])] * 4
+    tracemalloc.start()
+    try:
+        first, _ = RunLengthIndex(texts).long_matches(200)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(first) and peak < 70 * sum(map(len, texts))
