@@ -23,13 +23,14 @@ must be a table, or a plan that gives the same rows in the same order again.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.common import checkpoint, pieces, sieve, sieve_place, small_batches, utf8
+from geoloom.llm.common import checkpoint, give_back, pieces, sieve, sieve_place, small_batches, utf8
 from geoloom.llm.run_length_index import RunLengthIndex
 
 MATCH, GRAM = 200, 48
@@ -54,6 +55,22 @@ def _powers_of(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[which]
 
 
+def _tidy() -> None:
+    _powers.clear()  # made anew in milliseconds
+    give_back()
+
+
+def _tidied(work: Callable) -> Callable:
+    """The work of a task, after which its worker, which lives on beside others, holds nothing of it."""
+
+    @wraps(work)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        _tidy()
+
+    return run
+
+
 class Hashes:
     """Hashes of any substring of some bytes, by prefix sums."""
 
@@ -119,7 +136,7 @@ def cut(raw: np.ndarray, starts: np.ndarray, match: int = MATCH, gram: int = GRA
 
 def _parts(batches: Iterator[pa.RecordBatch], text_column: int, match: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Batches with raw bytes, starts, the row of each text and how far into its row it begins; long texts come in overlapping parts."""
-    for batch in pieces(batches, PART):
+    for batch in pieces(batches, PART, tidy=False):
         raw, starts = utf8(batch.column(text_column))
         if len(raw) <= 2 * PART:
             yield batch, raw, starts, np.arange(batch.num_rows), np.zeros(batch.num_rows, np.int64)
@@ -134,6 +151,7 @@ def _parts(batches: Iterator[pa.RecordBatch], text_column: int, match: int) -> I
 def _anchors(match: int, gram: int, brief: bool) -> Callable:
     """From (row, text): the gram hashes with their counts, or all of each piece."""
 
+    @_tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw, starts, rows, offset in _parts(batches, 1, match):
             text, first, last, h, content, *rest = cut(raw, starts, match, gram, brief)
@@ -158,8 +176,9 @@ def _anchors(match: int, gram: int, brief: bool) -> Callable:
 def _slices(match: int, gram: int) -> Callable:
     """From (row, text, wanted): the bytes of wanted pieces, and the lots of hot ones."""
 
+    @_tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, PART):
+        for batch in pieces(batches, PART, tidy=False):
             out: list[tuple] = []
             for row, text, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 raw = (text or "").encode()
@@ -196,6 +215,7 @@ def _index(match: int) -> Callable:
         shift = np.array([r[2] for r in held], np.int64)[own] - index.starts[own]
         return [(held[k][1], a, b + match) for k, a, b in zip(own.tolist(), (first + shift).tolist(), (last + shift).tolist(), strict=True) if held[k][3]]
 
+    @_tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def table(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int32())], names=["row", "begin", "end"])
@@ -214,9 +234,10 @@ def _index(match: int) -> Callable:
     return run
 
 
+@_tidied
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (row, doc_id, text, marks): the kept text and what was removed."""
-    for batch in pieces(batches, PART):
+    for batch in pieces(batches, PART, tidy=False):
         kept, sizes, removed, spans = [], [], [], []
         for text, marks in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             raw = (text or "").encode()
@@ -235,9 +256,19 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
 
 
+def _untouched(fine) -> Callable:
+    """Rows off the places of a sieve, with nothing removed. One function does both, as two would be two workers a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _remove(batch.append_column("marks", pa.nulls(batch.num_rows)) for batch in _sift(fine, False)(batches))
+
+    return run
+
+
 def _sift(fine, wanted: bool) -> Callable:
     """Rows on or off the places of a sieve, without the place."""
 
+    @_tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             on = fine.value[batch.column(3).to_numpy()]
@@ -290,5 +321,5 @@ def suffix_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     fine = spark.sparkContext.broadcast(sieve(marks, "row"))
     out = f"doc_id {kind}, n_bytes long, n_removed long, spans array<struct<begin:long,end:long>>, kept binary"
     touched = sift(fine).join(marks, "row", "left").select("row", "doc_id", "text", "marks").mapInArrow(_remove, out)
-    whole = placed.mapInArrow(_sift(fine, False), f"row long, doc_id {kind}, text string").select("row", "doc_id", "text", F.lit(None).cast("array<struct<begin:int,end:int>>").alias("marks")).mapInArrow(_remove, out)
+    whole = placed.mapInArrow(_untouched(fine), out)
     return touched.union(whole)

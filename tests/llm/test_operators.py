@@ -3,6 +3,8 @@
 import hashlib
 import random
 import re
+import subprocess
+import sys
 import tracemalloc
 from collections import Counter
 
@@ -475,3 +477,33 @@ def test_the_index_takes_a_bounded_share_of_memory():
     finally:
         tracemalloc.stop()
     assert len(first) and peak < 70 * sum(map(len, texts))
+
+
+def test_workers_of_suffix_dedup_hold_nothing_after_a_task():
+    """In a process of its own, as the tests' one has memory to reuse."""
+    code = """
+import re
+import numpy as np, pyarrow as pa
+from geoloom.llm import suffix_dedup
+used = lambda: int(re.search(r"RssAnon:\\s+(\\d+)", open("/proc/self/status").read())[1]) >> 10
+drawn = np.random.default_rng(4)
+texts = [bytes(drawn.integers(97, 123, 352, dtype=np.uint8)) for _ in range(1500)] * 4
+table = pa.RecordBatch.from_pydict({"h": [k % 1500 for k in range(6000)], "row": list(range(6000)), "at": [0] * 6000, "single": [True] * 6000, "body": texts})
+rows = pa.RecordBatch.from_pydict({"row": list(range(6000)), "text": [t.decode() for t in texts]})
+for work, batch in ((suffix_dedup._index(200), table), (suffix_dedup._anchors(200, 48, False), rows)):
+    before = used()
+    found = sum(b.num_rows for b in work(iter([batch])))
+    assert found, work
+    assert used() - before < 40, (work, before, used())
+"""
+    subprocess.run([sys.executable, "-c", code], check=True)
+
+
+def test_a_task_of_suffix_dedup_has_one_worker(docs):
+    def workers(node) -> int:
+        """Python nodes on one path, each a worker of the same task, down to a shuffle for a join."""
+        if "Join" in node.nodeName():
+            return 0
+        return (node.nodeName() == "MapInArrow") + max((workers(node.children().apply(k)) for k in range(node.children().size())), default=0)
+
+    assert workers(suffix_dedup.suffix_dedup(docs)._jdf.queryExecution().sparkPlan()) == 1
