@@ -51,7 +51,10 @@ def _powers_of(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of a base and of its inverse modulo 2**64, at least n of each."""
     if which not in _powers or len(_powers[which][0]) < n:
         size, base = max(n, 1 << 20), _BASES[which]
-        _powers[which] = tuple(np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size - 1, b)])) for b in (base, np.uint64(pow(int(base), -1, 1 << 64))))
+        _powers[which] = tuple(np.full(size, b) for b in (base, np.uint64(pow(int(base), -1, 1 << 64))))
+        for powers in _powers[which]:
+            powers[0] = 1
+            np.multiply.accumulate(powers, out=powers)
     return _powers[which]
 
 
@@ -77,7 +80,9 @@ class Hashes:
     def __init__(self, raw: np.ndarray, which: int = 0):
         up, self.down = _powers_of(len(raw) + 1, which)
         self.sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(_BYTES[which][raw] * up[: len(raw)], out=self.sums[1:])
+        values = _BYTES[which][raw]
+        values *= up[: len(raw)]
+        np.cumsum(values, out=self.sums[1:])
 
     def of(self, start, end):
         h = (self.sums[end] - self.sums[start]) * self.down[start]
@@ -88,7 +93,8 @@ class Hashes:
         n = len(self.sums) - size
         if n <= 0:
             return np.zeros(0, np.uint64)
-        h = (self.sums[size:] - self.sums[:-size]) * self.down[:n]
+        h = self.sums[size:] - self.sums[:-size]
+        h *= self.down[:n]
         h ^= h >> np.uint64(32)
         h *= np.uint64(0xD6E8FEB86659FD93)
         h ^= h >> np.uint64(29)
@@ -99,12 +105,13 @@ def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
     """The least of each window of width values, by running minima from both ends of blocks."""
     n = len(x) - width + 1
     whole = -(-len(x) // width) * width
-    padded = np.full(whole, np.iinfo(np.uint64).max)
-    padded[: len(x)] = x
-    blocks = padded.reshape(-1, width)
-    ahead = np.minimum.accumulate(blocks, 1).ravel()
-    back = np.minimum.accumulate(blocks[:, ::-1], 1)[:, ::-1].ravel()
-    return np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
+    blocks = np.full((whole // width, width), np.iinfo(np.uint64).max)
+    blocks.ravel()[: len(x)] = x
+    back = np.empty_like(blocks)
+    np.minimum.accumulate(blocks[:, ::-1], 1, out=back[:, ::-1])
+    least = back.ravel()[:n]
+    np.minimum.accumulate(blocks, 1, out=blocks)
+    return np.minimum(least, blocks.ravel()[width - 1 : width - 1 + n], out=least)
 
 
 def cut(raw: np.ndarray, starts: np.ndarray, match: int = MATCH, gram: int = GRAM, brief: bool = False) -> tuple[np.ndarray, ...]:
@@ -115,23 +122,30 @@ def cut(raw: np.ndarray, starts: np.ndarray, match: int = MATCH, gram: int = GRA
     hashes = Hashes(raw)
     grams = hashes.grams(gram)
     low = np.uint64((1 << PLACE_BITS) - 1)
-    key = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
+    key = grams & ~low
+    key |= np.arange(len(grams), dtype=np.uint64)
     least = _sliding_least(key, match - gram + 1)  # of each place where a window would fit
+    del key
     valid = np.zeros(len(least) + 1, np.int8)
     many = np.diff(starts) - match + 1
     fit = many > 0
     valid[starts[:-1][fit]] += 1
     valid[(starts[:-1] + many)[fit]] -= 1
-    windows = np.flatnonzero(np.cumsum(valid[:-1]))
+    windows = np.flatnonzero(np.cumsum(valid[:-1], dtype=np.int8))
     if not len(windows):
         return none
-    anchor = (least[windows] & low).astype(np.int64)
+    anchor = least[windows]
+    del least
+    anchor &= low
+    anchor = anchor.view(np.int64)
     new = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (windows[1:] != windows[:-1] + 1)]))
     first, last = windows[new], windows[np.concatenate([new[1:] - 1, [len(windows) - 1]])] + 1
     text = np.searchsorted(starts, first, "right") - 1
-    place = anchor[new]
-    contents = [hashes, *([] if brief else [Hashes(raw, 1)])]
-    return text, first, last, grams[place], *(c.of(first, last - 1 + match) for c in contents)
+    h, ends = grams[anchor[new]], last - 1 + match
+    del grams, windows, anchor, new
+    contents = [hashes.of(first, ends)]
+    del hashes
+    return text, first, last, h, *contents, *([] if brief else [Hashes(raw, 1).of(first, ends)])
 
 
 def _parts(batches: Iterator[pa.RecordBatch], text_column: int, match: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:

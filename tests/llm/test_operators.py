@@ -507,3 +507,16 @@ def test_a_task_of_suffix_dedup_has_one_worker(docs):
         return (node.nodeName() == "MapInArrow") + max((workers(node.children().apply(k)) for k in range(node.children().size())), default=0)
 
     assert workers(suffix_dedup.suffix_dedup(docs)._jdf.queryExecution().sparkPlan()) == 1
+
+
+def test_cutting_takes_a_bounded_share_of_memory():
+    raw = np.random.default_rng(4).integers(97, 123, 1 << 20, dtype=np.uint8)
+    starts = np.arange(0, len(raw) + 1, 1 << 11)
+    suffix_dedup._powers.clear()
+    tracemalloc.start()
+    try:
+        found = suffix_dedup.cut(raw, starts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(found) == 6 and len(found[0]) and peak < 70 * len(raw)
